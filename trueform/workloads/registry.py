@@ -21,6 +21,7 @@ _MODULES = (
     "trueform.workloads.expect_q",
     "trueform.workloads.sources_q",
     "trueform.workloads.reports_q",
+    "trueform.workloads.runs_q",
 )
 
 
