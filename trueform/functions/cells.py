@@ -27,6 +27,9 @@ NUMERIC_PATTERN = (
     r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 )
 
+# Text a decimal cast can read (checked first: failed casts are expensive).
+DECIMAL_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
 NOT_MAPPED = " is not in field mapping or valid value set"
 
 Pair = tuple[Column, Column]
@@ -244,7 +247,7 @@ def cast_number(x: Column, field: FieldSpec) -> Column:
     text = strip(x)
     if field.group_char:
         text = F.replace(text, F.lit(field.group_char), F.lit(""))
-    return text.try_cast("decimal(18,6)")
+    return F.when(text.rlike(DECIMAL_PATTERN), text.try_cast("decimal(18,6)"))
 
 
 def cast_boolean(x: Column, field: FieldSpec) -> Column:

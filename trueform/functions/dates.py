@@ -8,21 +8,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accepted date layouts, tried in this order (month first, then
-# day first, then month names).
+# day first, then month names), each behind a cheap shape test so a parser only
+# sees text it can plausibly read (failed parses are expensive).
+_YMD = r"^\d{4}-\d{1,2}-\d{1,2}$"
+_YMD_SLASH = r"^\d{4}/\d{1,2}/\d{1,2}$"
+_MDY_SLASH = r"^\d{1,2}/\d{1,2}/\d{4}$"
+_MDY_DASH = r"^\d{1,2}-\d{1,2}-\d{4}$"
+_MDY_DOT = r"^\d{1,2}\.\d{1,2}\.\d{4}$"
+_NAME_COMMA = r"^[A-Za-z]+ \d{1,2}, \d{4}$"
+_NAME_SPACE = r"^[A-Za-z]+ \d{1,2} \d{4}$"
+_DAY_NAME = r"^\d{1,2} [A-Za-z]+ \d{4}$"
+_ISO_TS = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
+
 DATE_FORMATS = (
-    "yyyy-M-d",
-    "yyyy/M/d",
-    "M/d/yyyy",
-    "M-d-yyyy",
-    "M.d.yyyy",
-    "d/M/yyyy",
-    "d-M-yyyy",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "MMM d yyyy",
-    "MMMM d yyyy",
-    "d MMM yyyy",
-    "d MMMM yyyy",
+    ("yyyy-M-d", _YMD),
+    ("yyyy/M/d", _YMD_SLASH),
+    ("M/d/yyyy", _MDY_SLASH),
+    ("M-d-yyyy", _MDY_DASH),
+    ("M.d.yyyy", _MDY_DOT),
+    ("d/M/yyyy", _MDY_SLASH),
+    ("d-M-yyyy", _MDY_DASH),
+    ("MMM d, yyyy", _NAME_COMMA),
+    ("MMMM d, yyyy", _NAME_COMMA),
+    ("MMM d yyyy", _NAME_SPACE),
+    ("MMMM d yyyy", _NAME_SPACE),
+    ("d MMM yyyy", _DAY_NAME),
+    ("d MMMM yyyy", _DAY_NAME),
 )
 
 _TWO_DIGIT_YEAR = r"^\s*(\d{1,2})[/-](\d{1,2})[/-](\d{2})\s*$"
@@ -41,9 +52,9 @@ def _two_digit_year(x: Column) -> Column:
 def lenient_date(x: Column) -> Column:
     """first layout that parses wins; ISO timestamps give their date."""
     s = F.btrim(x)
-    tries = [F.try_to_date(s, fmt) for fmt in DATE_FORMATS]
+    tries = [F.when(s.rlike(shape), F.try_to_date(s, fmt)) for fmt, shape in DATE_FORMATS]
     tries.append(_two_digit_year(s))
-    tries.append(F.to_date(F.try_to_timestamp(s)))
+    tries.append(F.when(s.rlike(_ISO_TS), F.to_date(F.try_to_timestamp(s))))
     return F.coalesce(*tries)
 
 

@@ -50,10 +50,26 @@ def state_code(x: Column) -> Column:
         F.try_element_at(by_name, norm),
     )
     sx = F.soundex(F.regexp_replace(norm, " ", ""))
-    hits = F.filter(
-        F.array(*[F.when(sx == F.soundex(F.lit(n.upper().replace(" ", ""))), F.lit(a))
-                  for a, n, _ in STATES]),
-        lambda c: c.isNotNull(),
-    )
-    near = F.when(~norm.rlike(r"^[A-Z]{0,2}$|^\d+$") & (F.size(hits) == 1), F.element_at(hits, 1))
+    near = F.when(~norm.rlike(r"^[A-Z]{0,2}$|^\d+$"), F.try_element_at(_unique_soundex_map(), sx))
     return F.coalesce(exact, near)
+
+
+_SOUNDEX_CACHE: dict[str, str] = {}
+
+
+def _unique_soundex_map() -> Column:
+    """Sound-alike code -> state, for codes that belong to exactly one name.
+
+    The codes come from Spark's own ``soundex`` (one tiny local query, cached),
+    so lookups and keys always agree.
+    """
+    if not _SOUNDEX_CACHE:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.getActiveSession()
+        names = [n.upper().replace(" ", "") for _, n, _ in STATES]
+        row = spark.range(1).select(*[F.soundex(F.lit(n)).alias(f"s{i}") for i, n in enumerate(names)]).first()
+        codes: dict[str, list[str]] = {}
+        for i, (a, _, _) in enumerate(STATES):
+            codes.setdefault(row[f"s{i}"], []).append(a)
+        _SOUNDEX_CACHE.update({k: v[0] for k, v in codes.items() if len(v) == 1})
+    return _map(_SOUNDEX_CACHE.items())

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from trueform.functions import cells
 from trueform.operators import rows
 from trueform.plans.spec import FieldSpec, TableSpec
-from trueform.session import materialize as _materialize
+from trueform.session import materialize as _materialize, spread
 
 #: mappings up to this many entries per field become literal maps
 LITERAL_MAP_LIMIT = 256
@@ -133,6 +133,7 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
     """Conform ``df`` to ``spec``; returns conformed, dropped and invalid frames."""
     spark = df.sparkSession
     mappings = mapping_frame(spark, mappings)
+    df = spread(df)
     src_cols = list(df.columns)
     required = spec.required_names
     for r in required:  # G2: absent required column reads as all null

@@ -72,3 +72,16 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy row work at least one partition per core.
+
+    A scan with fewer splits than the session's parallelism (a small file with
+    one row group) is round-robin repartitioned; a large scan already has
+    enough splits and is returned untouched, so no shuffle is added at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -9,6 +9,7 @@ from trueform.functions import cells
 from trueform.operators.shape import join_values, split_values
 from trueform.plans.spec import FieldSpec
 from trueform.workloads.conform_q import NUM_RE, _split_select
+from trueform.session import spread
 from trueform.workloads.registry import register, table
 
 ORDERS_DIRT = """
@@ -82,11 +83,11 @@ TYPES_FIELD = FieldSpec("types", "integer", enum_mapping=tuple((p, i + 1) for i,
 
 
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(*_split_select(ORDERS_DIRT))
+    return spread(table(spark, sf_dir, "orders").selectExpr(*_split_select(ORDERS_DIRT)))
 
 
 def dirty_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").selectExpr(*_split_select(PART_DIRT))
+    return spread(table(spark, sf_dir, "part").selectExpr(*_split_select(PART_DIRT)))
 
 
 def _guarded(raw, pair):

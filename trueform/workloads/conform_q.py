@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trueform.operators.process import process
 from trueform.plans.spec import FieldSpec, TableSpec
+from trueform.session import spread
 from trueform.workloads.registry import register, table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -48,7 +49,7 @@ EVENTS_DIRT = """
 
 
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(*_split_select(EVENTS_DIRT))
+    return spread(table(spark, sf_dir, "events").selectExpr(*_split_select(EVENTS_DIRT)))
 
 
 def _split_select(sql: str) -> list[str]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trueform.operators import mapping
 from trueform.plans.spec import FieldSpec, TableSpec
 from trueform.workloads.conform_q import NUM_RE, _split_select
+from trueform.session import spread
 from trueform.workloads.registry import register, table
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -46,7 +47,7 @@ SOURCE_MAP_SQL = """
 
 
 def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").selectExpr(*_split_select(CUSTOMER_DIRT))
+    return spread(table(spark, sf_dir, "customer").selectExpr(*_split_select(CUSTOMER_DIRT)))
 
 
 def source_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
