@@ -95,25 +95,32 @@ class NoLookup(Lookup):
 
 
 class MapLookup(Lookup):
-    """Mapping held as a literal ``map<input, output>`` (small mappings)."""
+    """Mapping held as a literal ``map<input, output>`` (small mappings).
+
+    The map expression is built on first use, so lookups can be declared
+    before a session exists.
+    """
 
     def __init__(self, pairs: dict[str, str | None]):
         self.pairs = dict(pairs)
-        if self.pairs:
+        self._map = None
+
+    @property
+    def map(self) -> Column | None:
+        if self._map is None and self.pairs:
             kv = []
             for k, v in self.pairs.items():
                 kv += [F.lit(k), F.lit(v).cast("string")]
-            self.map = F.create_map(*kv)
-        else:
-            self.map = None
+            self._map = F.create_map(*kv)
+        return self._map
 
     def hit(self, key):
-        if self.map is None:
+        if not self.pairs:
             return F.lit(False)
         return F.coalesce(F.map_contains_key(self.map, key), F.lit(False))
 
     def out(self, key):
-        if self.map is None:
+        if not self.pairs:
             return _null()
         return F.try_element_at(self.map, key)
 

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import IntegerType
 
 
 def token_sort_key(c: Column) -> Column:
@@ -74,7 +75,7 @@ def _lcs_bits(a: str, b: str) -> int:
     return len(a) - bin(v).count("1")
 
 
-@pandas_udf("int")
+@pandas_udf(IntegerType())
 def ratio_score_arrow(a_key: pd.Series, b_key: pd.Series) -> pd.Series:
     """Same score as :func:`ratio_score` for long keys: O(len a * len b / 64) per pair."""
     out = []

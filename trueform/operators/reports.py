@@ -35,7 +35,8 @@ def dropped_explanations(dropped: DataFrame, case_field: str = "CaseNumber",
     names = [f for f in (fields or cols) if f in cols and f not in ("drop_kind", "missing_fields")]
     row = F.create_map(*[x for n in names for x in (F.lit(n), F.col(f"`{n}`").cast("string"))]) \
         if names else F.create_map().cast("map<string,string>")
-    reasons = F.transform(F.col("missing_fields"), lambda f: F.when(
+    missing = F.col("missing_fields") if "missing_fields" in cols else F.array().cast("array<string>")
+    reasons = F.transform(missing, lambda f: F.when(
         F.coalesce(F.try_element_at(row, f), F.lit("")) != F.lit(""),
         F.concat(f, F.lit(" (Invalid value: "), F.try_element_at(row, f), F.lit(")"))
     ).otherwise(F.concat(f, F.lit(" (missing)"))))
