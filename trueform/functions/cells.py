@@ -60,18 +60,22 @@ def is_num(c: Column) -> Column:
     return c.rlike(NUMERIC_PATTERN)
 
 
-def is_int(c: Column) -> Column:
-    """float-parsable and whole; nan and inf are not whole."""
-    d = as_double(c)
+def is_int(c: Column, d: Column | None = None) -> Column:
+    """float-parsable and whole; nan and inf are not whole.
+
+    ``d`` may carry an already computed :func:`as_double` of ``c``.
+    """
+    d = as_double(c) if d is None else d
     return F.coalesce(
         ~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))) & (F.bround(d, 0) == d),
         F.lit(False),
     )
 
 
-def int_value(c: Column) -> Column:
+def int_value(c: Column, d: Column | None = None) -> Column:
     """Whole-number text to bigint (``3``, ``3.0``, `` 3 ``); null otherwise."""
-    return F.when(is_int(c), as_double(c).try_cast("bigint"))
+    d = as_double(c) if d is None else d
+    return F.when(is_int(c, d), d.try_cast("bigint"))
 
 
 # -- value-mapping lookups -------------------------------------------------------------
@@ -152,27 +156,27 @@ def _first_by_lower(options: list[tuple[str, object]]) -> list[tuple[str, object
     return list(seen.items())
 
 
-def mapping_key(field: FieldSpec, v: Column) -> Column:
+def mapping_key(field: FieldSpec, v: Column, d: Column | None = None) -> Column:
     """Text used to look a raw value up in the field's mapping.
 
     Booleans normalise whole numbers first (``1.0`` -> ``1``).
     """
     if field.type == "boolean":
-        return F.coalesce(F.when(is_int(v), int_value(v).cast("string")), v)
+        return F.coalesce(int_value(v, d).cast("string"), v)
     return v
 
 
 # -- F4-F9: transforms ------------------------------------------------------------
 
-def transform_enum(v: Column, field: FieldSpec, lookup: Lookup) -> Pair:
+def transform_enum(v: Column, field: FieldSpec, lookup: Lookup, d: Column | None = None) -> Pair:
     """F4 boolean / F5 integer enum / F6 string enum."""
-    key = mapping_key(field, v)
+    key = mapping_key(field, v, d)
     hit, out = lookup.hit(key), lookup.out(key)
     mapped_blank = hit & is_blank(out)
     if field.enum_mapping is not None:
         exact = _literal_map(list(dict(field.enum_mapping).items()))
         ci = _literal_map(_first_by_lower(list(field.enum_mapping)))
-        whole = int_value(v)
+        whole = int_value(v, d)
         mapped_code = F.try_element_at(exact, out)
         ci_code = F.try_element_at(ci, F.lower(v))
         value = (F.when(whole.isNotNull(), whole)
@@ -205,22 +209,27 @@ def transform_state(v: Column) -> Pair:
     return code, F.when(code.isNull(), F.concat(v, F.lit(" is not a valid state")))
 
 
-def transform_int(v: Column) -> Pair:
+def transform_int(v: Column, d: Column | None = None) -> Pair:
     """whole number -> bigint, else reason."""
-    val = int_value(v)
+    val = int_value(v, d)
     return val, F.when(val.isNull(), F.concat(v, F.lit(" is not an integer")))
 
 
-def transform(v: Column, field: FieldSpec, lookup: Lookup) -> Pair | None:
+def needs_number(field: FieldSpec) -> bool:
+    """Fields whose transform reads the text as a float."""
+    return field.enum_mapping is not None or field.type in ("integer", "boolean")
+
+
+def transform(v: Column, field: FieldSpec, lookup: Lookup, d: Column | None = None) -> Pair | None:
     """F20 transform-phase dispatch; None when the field has no transform."""
     if field.is_enum or field.type == "boolean":
-        return transform_enum(v, field, lookup)
+        return transform_enum(v, field, lookup, d)
     if field.transform == "prefix":
         return transform_prefix(v)
     if field.transform == "state":
         return transform_state(v)
     if field.type == "integer":
-        return transform_int(v)
+        return transform_int(v, d)
     return None
 
 
@@ -301,7 +310,7 @@ def cast(x: Column, field: FieldSpec) -> Pair:
     return val, _constraint_reason(val, field, F.concat(val, F.lit(" is not a valid string")))
 
 
-def _blank_after_transform(x: Column, field: FieldSpec, transformed: bool) -> Column:
+def blank_after_transform(x: Column, field: FieldSpec, transformed: bool) -> Column:
     if transformed and (field.type == "integer"):
         return x.isNull()
     return is_blank(x)
@@ -315,7 +324,7 @@ def conform_scalar(v: Column, field: FieldSpec, lookup: Lookup | None = None) ->
         x, t_reason = v, _null()
     else:
         x, t_reason = tr
-    x_blank = _blank_after_transform(x, field, tr is not None)
+    x_blank = blank_after_transform(x, field, tr is not None)
     c_val, c_reason = cast(x, field)
     reason = F.coalesce(t_reason, F.when(~x_blank, c_reason))
     value = F.when(reason.isNull() & ~x_blank, c_val)

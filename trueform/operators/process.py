@@ -127,6 +127,65 @@ def _identifier(spec: TableSpec, df_cols: list[str], key_field: str, for_field:
     return F.col(key_field).cast("string")
 
 
+def _conform_staged(df: DataFrame, cols: list[str], fields: list[FieldSpec], array_fields: set[str],
+                    lookups: dict[str, cells.Lookup]) -> DataFrame:
+    """Value and reason columns per field, as four narrow projections.
+
+    numeric parse -> transform -> cast -> final value/reason. Each stage reads
+    the previous stage's columns, so an expensive piece (a parse, a lookup) is
+    computed once per cell instead of being repeated inside every expression
+    that needs it; the stages stay in one whole-stage-codegen span.
+    """
+    keep = [F.col(c) for c in cols]
+    scalar = [f for f in fields if not f.allows_multiple and f.name not in array_fields]
+    # 1: float view of the text, for the fields that test numbers
+    s1 = df.select(*keep, *[cells.as_double(F.col(f.name)).alias(f"__d_{f.name}")
+                            for f in scalar if cells.needs_number(f)])
+    # 2: transform phase (+ the complete multi-value / list-in-scalar cells)
+    t_cols, done = [], []
+    for f in fields:
+        raw = F.col(f.name)
+        if f.allows_multiple:
+            v, r = cells.conform_multi(raw, f, lookups.get(f.name), raw_is_array=f.name in array_fields)
+            t_cols += [v.alias(_v(f.name)), r.alias(_r(f.name))]
+            done.append(f.name)
+        elif f.name in array_fields:
+            v = F.lit(None).cast(f.spark_type)
+            r = F.when(raw.isNotNull(), F.concat(cells.original_text(raw, True), F.lit(" is not a valid " + f.type)))
+            t_cols += [v.alias(_v(f.name)), r.alias(_r(f.name))]
+            done.append(f.name)
+        else:
+            d = F.col(f"__d_{f.name}") if cells.needs_number(f) else None
+            tr = cells.transform(raw, f, lookups.get(f.name) or cells.NoLookup(), d)
+            tv, trr = (raw, F.lit(None).cast("string")) if tr is None else tr
+            t_cols += [tv.alias(f"__t_{f.name}"), trr.alias(f"__tr_{f.name}"),
+                       cells.is_blank(raw).alias(f"__b_{f.name}")]
+    s2 = s1.select(*keep, *t_cols)
+    # 3: cast phase on the transformed value
+    c_cols, carry = [], [F.col(_v(n)) for n in done] + [F.col(_r(n)) for n in done]
+    for f in scalar:
+        x = F.col(f"__t_{f.name}")
+        transformed = cells.transform(F.lit("x"), f, cells.NoLookup()) is not None
+        cv, cr = cells.cast(x, f)
+        c_cols += [F.col(f"__tr_{f.name}"), F.col(f"__b_{f.name}"),
+                   cells.blank_after_transform(x, f, transformed).alias(f"__xb_{f.name}"),
+                   cv.alias(f"__c_{f.name}"), cr.alias(f"__cr_{f.name}")]
+    s3 = s2.select(*keep, *carry, *c_cols)
+    # 4: first reason wins; blanks are neither values nor errors
+    out = []
+    for f in scalar:
+        b, xb = F.col(f"__b_{f.name}"), F.col(f"__xb_{f.name}")
+        reason = F.when(~b, F.coalesce(F.col(f"__tr_{f.name}"), F.when(~xb, F.col(f"__cr_{f.name}"))))
+        value = F.when(~b & ~xb & F.col(f"__tr_{f.name}").isNull() & F.col(f"__cr_{f.name}").isNull(),
+                       F.col(f"__c_{f.name}"))
+        out += [value.alias(_v(f.name)), reason.alias(_r(f.name))]
+    s4 = s3.select(*keep, *carry, *out)
+    order = [F.col(c) for c in cols]
+    for f in fields:
+        order += [F.col(_v(f.name)), F.col(_r(f.name))]
+    return s4.select(*order)
+
+
 def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None = None, *,
             materialize: str | None = "persist",
             broadcast_limit: int = rows.BROADCAST_KEYS_LIMIT) -> ProcessResult:
@@ -144,20 +203,7 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
     array_fields = {f.name for f in fields if isinstance(df.schema[f.name].dataType, T.ArrayType)}
     df, lookups = _lookups(df, fields, mappings, array_fields)
 
-    computed = []
-    for f in fields:
-        is_arr = f.name in array_fields
-        raw = F.col(f.name)
-        if f.allows_multiple:
-            v, r = cells.conform_multi(raw, f, lookups.get(f.name), raw_is_array=is_arr)
-        elif is_arr:  # a list in a single-value field cannot be conformed
-            v = F.lit(None).cast(f.spark_type)
-            r = F.when(raw.isNotNull(), F.concat(cells.original_text(raw, True), F.lit(" is not a valid " + f.type)))
-        else:
-            v, r = cells.conform_cell(raw, f, lookups.get(f.name))
-        computed += [v.alias(_v(f.name)), r.alias(_r(f.name))]
-    staged = df.select(*[F.col(c) for c in cols], *computed)
-
+    staged = _conform_staged(df, cols, fields, array_fields, lookups)
     values = {f.name: F.col(_v(f.name)) for f in fields}
     missing = rows.missing_required(values, required)
     staged = staged.withColumn("__missing", missing)
