@@ -134,16 +134,21 @@ def check_approvals(mappings: DataFrame) -> DataFrame:
     return values_in_set(mappings, "approved", ["Yes"], by="field")
 
 
-def check_shape(datasets: Mapping[str, DataFrame], spec: TableSpec,
-                column_mapping: Mapping[str, str | None], row_format: bool = True) -> DataFrame:
-    """C11 (+C7): C1 against mapped names and spec names, and C2, for every dataset."""
+def shape_problems(datasets: Mapping[str, DataFrame], spec: TableSpec,
+                   column_mapping: Mapping[str, str | None], row_format: bool = True) -> list[dict]:
+    """C11 (+C7) at plan time: C1 against mapped and spec names, and C2, per dataset."""
     allowed = list(column_mapping.keys()) + spec.valid_names(row_format)
     recs: list[dict] = []
-    spark = None
     for name, df in datasets.items():
-        spark = df.sparkSession
         recs += columns_in_set(df.columns, allowed, name)
         recs += named_columns(df.columns, name)
-    if spark is None:
+    return recs
+
+
+def check_shape(datasets: Mapping[str, DataFrame], spec: TableSpec,
+                column_mapping: Mapping[str, str | None], row_format: bool = True) -> DataFrame:
+    """C11 (+C7) as a failure frame."""
+    if not datasets:
         raise ValueError("no datasets")
-    return failure_frame(spark, recs)
+    spark = next(iter(datasets.values())).sparkSession
+    return failure_frame(spark, shape_problems(datasets, spec, column_mapping, row_format))

@@ -84,6 +84,13 @@ def _lookups(df: DataFrame, fields: list[FieldSpec], mappings: DataFrame | None,
     if not wanted:
         return df, out
     m = mappings.where(F.col("field").isin(*wanted))
+    # usual case, one small job: every mapping row fits the literal-map budget
+    head = m.select("field", "input", "output").limit(LITERAL_MAP_LIMIT + 1).collect()
+    if len(head) <= LITERAL_MAP_LIMIT:
+        pairs0: dict[str, dict[str, str | None]] = {}
+        for r in head:
+            pairs0.setdefault(r["field"], {})[r["input"]] = r["output"]
+        return df, {f: cells.MapLookup(p) for f, p in pairs0.items()}
     counts = {r["field"]: r["n"] for r in m.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}
     small = [f for f, n in counts.items() if n <= LITERAL_MAP_LIMIT or f in array_fields]
     if small:

@@ -81,13 +81,15 @@ def conform(datasets: Mapping[str, DataFrame], spec: TableSpec, column_mapping:
         colmap = dict(column_mapping)
 
     if source_mappings is not None:
+        # read by the check and by the resolve step: materialise once
+        source_mappings = _materialize(source_mappings, materialize)
         fails = X.check_value_mappings(source_mappings, spec)
         if not fails.isEmpty():
             return ConformResult(VALMAP_INVALID, failures=fails)
 
-    fails = X.check_shape(dict(datasets), spec, colmap, row_format)
-    if not fails.isEmpty():
-        return ConformResult(SHAPE_INVALID, failures=fails)
+    shape_problems = X.shape_problems(dict(datasets), spec, colmap, row_format)  # plan time, no job
+    if shape_problems:
+        return ConformResult(SHAPE_INVALID, failures=X.failure_frame(spark, shape_problems))
 
     shaped = [S.shape(df, spec, colmap, member_id, row_format, delimiter) for df in datasets.values()]
     combined = S.union_by_name(shaped)
@@ -95,7 +97,9 @@ def conform(datasets: Mapping[str, DataFrame], spec: TableSpec, column_mapping:
         F.coalesce(S.col(c), F.lit("")).alias(c) if t == "string" else S.col(c) for c, t in combined.dtypes])
     combined = _materialize(combined, materialize)
 
-    generated = M.generate(combined, spec, method=fuzzy_method)
+    # suggestions come from distinct (field, raw) pairs, one best option each, so
+    # they cannot conflict; the E6 guard is for mappings assembled elsewhere
+    generated = M.generate(combined, spec, method=fuzzy_method, check_conflicts=False)
     if source_mappings is None:
         source_mappings = spark.createDataFrame([], M.MAPPING_SCHEMA)
     resolved = M.resolve(generated, source_mappings, overwrite=overwrite, remove_unapproved_source=True)

@@ -83,11 +83,11 @@ TYPES_FIELD = FieldSpec("types", "integer", enum_mapping=tuple((p, i + 1) for i,
 
 
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "orders").selectExpr(*_split_select(ORDERS_DIRT)))
+    return spread(table(spark, sf_dir, "orders")).selectExpr(*_split_select(ORDERS_DIRT))
 
 
 def dirty_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "part").selectExpr(*_split_select(PART_DIRT)))
+    return spread(table(spark, sf_dir, "part")).selectExpr(*_split_select(PART_DIRT))
 
 
 def _guarded(raw, pair):

@@ -49,7 +49,7 @@ EVENTS_DIRT = """
 
 
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "events").selectExpr(*_split_select(EVENTS_DIRT)))
+    return spread(table(spark, sf_dir, "events")).selectExpr(*_split_select(EVENTS_DIRT))
 
 
 def _split_select(sql: str) -> list[str]:

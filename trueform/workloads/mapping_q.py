@@ -47,7 +47,7 @@ SOURCE_MAP_SQL = """
 
 
 def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "customer").selectExpr(*_split_select(CUSTOMER_DIRT)))
+    return spread(table(spark, sf_dir, "customer")).selectExpr(*_split_select(CUSTOMER_DIRT))
 
 
 def source_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
