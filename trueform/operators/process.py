@@ -134,7 +134,7 @@ def _identifier(spec: TableSpec, df_cols: list[str], key_field: str, for_field:
     return F.col(key_field).cast("string")
 
 
-def _conform_staged(df: DataFrame, cols: list[str], fields: list[FieldSpec], array_fields: set[str],
+def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], array_fields: set[str],
                     lookups: dict[str, cells.Lookup]) -> DataFrame:
     """Value and reason columns per field, as four narrow projections.
 
@@ -210,7 +210,7 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
     array_fields = {f.name for f in fields if isinstance(df.schema[f.name].dataType, T.ArrayType)}
     df, lookups = _lookups(df, fields, mappings, array_fields)
 
-    staged = _conform_staged(df, cols, fields, array_fields, lookups)
+    staged = conform_columns(df, cols, fields, array_fields, lookups)
     values = {f.name: F.col(_v(f.name)) for f in fields}
     missing = rows.missing_required(values, required)
     staged = staged.withColumn("__missing", missing)

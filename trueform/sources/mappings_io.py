@@ -73,3 +73,18 @@ def org_id(orgs: DataFrame, name: str, name_col: str = "name", id_col: str = "id
 
 __all__ = ["load_value_mappings", "write_value_mappings", "review_table", "load_column_mapping",
            "column_mapping_dict", "org_id", "APPROVED"]
+
+
+def load_sheet_mappings(sheets: DataFrame, spec: TableSpec, sheet_col: str = "sheet") -> DataFrame:
+    """Per-field sheets of raw cell rows -> long mapping frame.
+
+    Headers are promoted per sheet (A4), sheets not named after a mappable
+    spec field are dropped, empty sheets give no rows.
+    """
+    from trueform.sources.sheets import promote_headers_by_sheet
+    names = [f.name for f in spec.fields if f.is_mappable]
+    long = promote_headers_by_sheet(sheets.where(F.col(sheet_col).isin(*names)), sheet_col=sheet_col)
+    i, o, a = VALUE_MAPPING_COLUMNS
+    wide = (long.groupBy(sheet_col, "row_no").pivot("column", [i, o, a]).agg(F.first("value")))
+    return wide.select(F.col(sheet_col).alias("field"), F.col(i).alias("input"), F.col(o).alias("output"),
+                       F.col(a).alias("approved"))

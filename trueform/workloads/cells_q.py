@@ -339,3 +339,39 @@ def f18_multi(spark, sf_dir):
     arr = split_values(F.col("types_raw"), ";")
     v, r = cells.conform_multi(arr, TYPES_FIELD)
     return d.select("p_partkey", join_values(v).alias("value"), r.alias("reason"))
+
+
+# dispatch through the staged projection used by the process job ------------------------
+DISPATCH_FIELDS = (PRIORITY_INT, BOOL_FIELD, SOC_FIELD, STATE_FIELD, PRICE_FIELD, DATE_FIELD, QTY_BOTH)
+DISPATCH_SOURCES = {"priority": "priority_raw", "flag": "bool_raw", "SOC": "soc_raw", "State": "state_raw",
+                    "price": "price_raw", "when": "date_raw", "qty": "num_raw"}
+
+
+def _oracle_body(sql: str, field: str) -> str:
+    return f"SELECT o_orderkey, '{field}' AS field, CAST(value AS VARCHAR) AS value, reason FROM ({sql}) t_{field}"
+
+
+def _dispatch_sql() -> str:
+    from trueform.workloads.registry import ORACLE
+    qty = f"""{_INT_T}
+SELECT o_orderkey, CASE WHEN NOT blank AND tv BETWEEN 0 AND 100 THEN tv END AS value,
+  CASE WHEN blank THEN NULL WHEN tv IS NULL THEN concat(num_raw, ' is not an integer')
+       WHEN tv < 0 OR tv > 100 THEN 'qty must be within the range [0, 100]' END AS reason FROM t"""
+    parts = [_oracle_body(ORACLE["f17_reason"], "priority"), _oracle_body(ORACLE["f12_bool_cast"], "flag"),
+             _oracle_body(ORACLE["f15_pattern"], "SOC"), _oracle_body(ORACLE["f8_lookup"], "State"),
+             _oracle_body(ORACLE["f10_number"], "price"), _oracle_body(ORACLE["f11_date"], "when"),
+             _oracle_body(qty, "qty")]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("f20_dispatch", _dispatch_sql())
+def f20_dispatch(spark, sf_dir):
+    """F19-F21 through the process job's staged projection: every type at once, long output."""
+    from trueform.operators.process import conform_columns
+    d = dirty_orders(spark, sf_dir).select(
+        "o_orderkey", *[F.col(src).alias(dst) for dst, src in DISPATCH_SOURCES.items()])
+    lookups = {"priority": PRIORITY_INT_MAPPING, "flag": BOOL_MAPPING}
+    out = conform_columns(d, d.columns, list(DISPATCH_FIELDS), set(), lookups)
+    recs = F.array(*[F.struct(F.lit(f.name).alias("field"), F.col(f"__v_{f.name}").cast("string").alias("value"),
+                              F.col(f"__r_{f.name}").alias("reason")) for f in DISPATCH_FIELDS])
+    return out.select("o_orderkey", F.explode(recs).alias("r")).select("o_orderkey", "r.*")

@@ -66,3 +66,20 @@ SELECT field AS dataset, 'expect_column_values_to_be_in_set' AS expectation, 'ap
 def c10_approval(spark, sf_dir):
     """Every mapping row must be approved."""
     return X.check_approvals(value_mapping_rows(spark, sf_dir))
+
+
+@register("c7_multi", f"""SELECT 'orders' AS dataset, 'expect_column_values_to_be_in_set' AS expectation,
+  'status' AS column_name, o_orderstatus AS failed_value, {_FAIL_COLS} FROM orders WHERE o_orderstatus NOT IN ('F', 'O')
+UNION ALL
+SELECT 'lineitem', 'expect_column_values_to_be_in_set', 'status', l_returnflag, {_FAIL_COLS} FROM lineitem
+WHERE l_returnflag NOT IN ('A', 'N')""")
+def c7_multi(spark, sf_dir):
+    """C6 + C7: one failure table for several datasets, tagged by dataset name."""
+    datasets = {"orders": table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("status")),
+                "lineitem": table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("status"))}
+    allowed = {"orders": ("F", "O"), "lineitem": ("A", "N")}
+    frames = [X.values_in_set(df, "status", allowed[name], name) for name, df in datasets.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

@@ -180,3 +180,22 @@ def e1_last_wins(spark, sf_dir):
                     F.when(F.col("c_custkey") % 2 == 0, "Yes").otherwise("No").alias("approved"),
                     F.col("c_custkey").alias("position"))
     return mapping.last_wins(rows)
+
+
+CONFLICT_SQL = """SELECT 'segment' AS field, concat('n', CAST(c_nationkey % 5 AS STRING)) AS input, c_mktsegment AS output
+  FROM customer
+  UNION ALL
+  SELECT 'segment', concat('c', CAST(c_custkey AS STRING)), c_mktsegment FROM customer"""
+
+
+@register("e6_conflicts", f"""SELECT field, input, CAST(count(DISTINCT output) AS BIGINT) AS n
+FROM ({CONFLICT_SQL}) m GROUP BY field, input HAVING count(DISTINCT output) > 1""")
+def e6_conflicts(spark, sf_dir):
+    """Inputs mapped to more than one output (aggregation on the key columns)."""
+    c = table(spark, sf_dir, "customer")
+    m = c.select(F.lit("segment").alias("field"),
+                 F.concat(F.lit("n"), (F.col("c_nationkey") % 5).cast("string")).alias("input"),
+                 F.col("c_mktsegment").alias("output")).unionByName(
+        c.select(F.lit("segment").alias("field"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("input"),
+                 F.col("c_mktsegment").alias("output")))
+    return mapping.conflicts(m)

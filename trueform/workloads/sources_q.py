@@ -126,3 +126,30 @@ def a15_org_lookup(spark, sf_dir):
     oid = MIO.org_id(orgs, "NATION_7")
     return orgs.where(F.col("name") == "NATION_7").agg(
         F.lit("NATION_7").alias("name"), F.lit(oid).alias("id"), F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+
+
+_SEG_IDX = ("CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2 "
+            "WHEN 'HOUSEHOLD' THEN 3 ELSE 4 END")
+SHEET_ROWS_SQL = f"""SELECT DISTINCT 'segment' AS sheet, 1 + {_SEG_IDX} * 100 + c_nationkey AS row_no,
+    concat(lower(c_mktsegment), '_', CAST(c_nationkey AS STRING)) AS input, c_mktsegment AS output,
+    CASE WHEN c_nationkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS approved FROM customer
+  UNION ALL
+  SELECT DISTINCT 'active', 1 + c_nationkey, concat('act', CAST(c_nationkey AS STRING)),
+    CASE WHEN c_nationkey % 2 = 0 THEN 'yes' ELSE 'no' END, 'No' FROM customer
+  UNION ALL
+  SELECT DISTINCT 'unknown', 1 + c_nationkey, CAST(c_nationkey AS STRING), 'x', 'No' FROM customer"""
+
+
+@register("a11_sheet_load", f"""SELECT sheet AS field, input, output, approved FROM ({SHEET_ROWS_SQL}) s
+WHERE sheet IN ('segment', 'active')""")
+def a11_sheet_load(spark, sf_dir):
+    """A workbook of per-field sheets (header row + cell rows) -> long mapping frame;
+    sheets not named after a spec field are ignored."""
+    rows = spark.sql(SHEET_ROWS_SQL.replace("FROM customer", "FROM {customer}"),
+                     customer=table(spark, sf_dir, "customer"))
+    body = rows.select("sheet", F.col("row_no").cast("bigint").alias("row_no"),
+                       F.array("input", "output", "approved").alias("cells"))
+    heads = rows.select("sheet").distinct().select(
+        "sheet", F.lit(0).cast("bigint").alias("row_no"),
+        F.array(F.lit("Input "), F.lit(" Output"), F.lit("Approved")).alias("cells"))
+    return MIO.load_sheet_mappings(heads.unionByName(body), CUSTOMER_SPEC)
