@@ -14,7 +14,6 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.codegen.maxFields", "1000")
          .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="trueform-test-ckpt-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")

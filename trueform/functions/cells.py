@@ -142,11 +142,30 @@ class ColumnLookup(Lookup):
         return self._out
 
 
+def sql_literal(v) -> str:
+    """A Spark SQL literal for a string / int / None."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return f"{v}L"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_MAP_CACHE: dict[tuple, Column] = {}
+
+
 def _literal_map(pairs: list[tuple[str, object]]) -> Column:
-    kv = []
-    for k, v in pairs:
-        kv += [F.lit(k), F.lit(v)]
-    return F.create_map(*kv)
+    """A constant map built by one parsed SQL expression (memoised per session)."""
+    from pyspark import SparkContext
+    key = (id(SparkContext._active_spark_context), tuple(pairs))
+    got = _MAP_CACHE.get(key)
+    if got is None:
+        body = ", ".join(f"{sql_literal(k)}, {sql_literal(v)}" for k, v in pairs)
+        got = F.expr(f"map({body})")
+        _MAP_CACHE[key] = got
+    return got
 
 
 def _first_by_lower(options: list[tuple[str, object]]) -> list[tuple[str, object]]:
@@ -220,6 +239,12 @@ def needs_number(field: FieldSpec) -> bool:
     return field.enum_mapping is not None or field.type in ("integer", "boolean")
 
 
+def has_transform(field: FieldSpec) -> bool:
+    """Whether :func:`transform` has a transform phase for the field."""
+    return (field.is_enum or field.type in ("boolean", "integer")
+            or field.transform in ("prefix", "state"))
+
+
 def transform(v: Column, field: FieldSpec, lookup: Lookup, d: Column | None = None) -> Pair | None:
     """F20 transform-phase dispatch; None when the field has no transform."""
     if field.is_enum or field.type == "boolean":
@@ -364,10 +389,10 @@ def conform_multi(raw: Column, field: FieldSpec, lookup: Lookup | None = None,
     t_reason = F.try_element_at(F.filter(t, lambda e: e["r"].isNotNull()), F.lit(1))["r"]
     kept = F.filter(F.transform(t, lambda e: e["v"]), lambda x: ~is_blank(x))
 
-    has_transform = transform(F.lit("x"), field, NoLookup()) is not None
+    transformed = has_transform(field)
 
     def c_elem(x):
-        xv = x.cast("bigint") if (has_transform and field.type == "integer") else x
+        xv = x.cast("bigint") if (transformed and field.type == "integer") else x
         cv, cr = cast(xv, field)
         return F.struct(cv.alias("v"), cr.alias("r"))
 
@@ -379,6 +404,53 @@ def conform_multi(raw: Column, field: FieldSpec, lookup: Lookup | None = None,
     return F.when(raw.isNotNull(), value), F.when(raw.isNotNull(), reason)
 
 
+# -- staged multi-value pieces (used by the process job) ----------------------------------
+
+def multi_parse(raw: Column, field: FieldSpec) -> Column:
+    """Stage 1: every element with its float view, parsed once."""
+    if needs_number(field):
+        return F.transform(raw, lambda x: F.struct(x.alias("x"), as_double(x).alias("d")))
+    return F.transform(raw, lambda x: F.struct(x.alias("x"), F.lit(None).cast("double").alias("d")))
+
+
+def multi_transform(parsed: Column, field: FieldSpec, lookup: Lookup | None = None) -> Column:
+    """Stage 2: transform phase per element -> array<struct<v, r>> (blank elements empty)."""
+    lookup = lookup or NoLookup()
+
+    def one(e):
+        x = e["x"]
+        tr = transform(x, field, lookup, e["d"] if needs_number(field) else None)
+        tv, trr = (x, _null()) if tr is None else tr
+        blank = is_blank(x)
+        return F.struct(F.when(~blank, tv.cast("string")).alias("v"), F.when(~blank, trr).alias("r"))
+
+    return F.transform(parsed, one)
+
+
+def first_reason(arr: Column) -> Column:
+    return F.try_element_at(F.filter(arr, lambda e: e["r"].isNotNull()), F.lit(1))["r"]
+
+
+def multi_cast(transformed: Column, field: FieldSpec) -> Column:
+    """Stage 3: cast phase on the kept (non-blank) transformed elements."""
+    kept = F.filter(F.transform(transformed, lambda e: e["v"]), lambda x: ~is_blank(x))
+    as_int = has_transform(field) and field.type == "integer"
+
+    def one(x):
+        cv, cr = cast(x.cast("bigint") if as_int else x, field)
+        return F.struct(cv.alias("v"), cr.alias("r"))
+
+    return F.transform(kept, one)
+
+
+def multi_final(raw: Column, t_reason: Column, casted: Column) -> Pair:
+    """Stage 4: first transform reason, else first cast reason; empty -> null."""
+    reason = F.coalesce(t_reason, first_reason(casted))
+    vals = F.transform(casted, lambda e: e["v"])
+    value = F.when(reason.isNull() & (F.size(vals) > 0), vals)
+    return F.when(raw.isNotNull(), value), F.when(raw.isNotNull(), reason)
+
+
 def original_text(raw: Column, is_array: bool) -> Column:
     """Raw cell as report text; lists render as ``['a', 'b']``."""
     if not is_array:

@@ -31,10 +31,8 @@ STATES = (
 
 
 def _map(pairs) -> Column:
-    kv = []
-    for k, v in pairs:
-        kv += [F.lit(k), F.lit(v)]
-    return F.create_map(*kv)
+    from trueform.functions.cells import _literal_map
+    return _literal_map(list(pairs))
 
 
 def state_code(x: Column) -> Column:

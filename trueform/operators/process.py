@@ -145,17 +145,22 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
     """
     keep = [F.col(c) for c in cols]
     scalar = [f for f in fields if not f.allows_multiple and f.name not in array_fields]
-    # 1: float view of the text, for the fields that test numbers
-    s1 = df.select(*keep, *[cells.as_double(F.col(f.name)).alias(f"__d_{f.name}")
-                            for f in scalar if cells.needs_number(f)])
-    # 2: transform phase (+ the complete multi-value / list-in-scalar cells)
+    multi = [f for f in fields if f.allows_multiple and f.name in array_fields]
+    # 1: float view of the text, for the fields that test numbers (per element for lists)
+    s1 = df.select(*keep,
+                   *[cells.as_double(F.col(f.name)).alias(f"__d_{f.name}") for f in scalar if cells.needs_number(f)],
+                   *[cells.multi_parse(F.col(f.name), f).alias(f"__xa_{f.name}") for f in multi])
+    # 2: transform phase (+ the complete cells that cannot be conformed)
     t_cols, done = [], []
     for f in fields:
         raw = F.col(f.name)
-        if f.allows_multiple:
-            v, r = cells.conform_multi(raw, f, lookups.get(f.name), raw_is_array=f.name in array_fields)
+        if f.allows_multiple and f.name not in array_fields:
+            v, r = cells.conform_multi(raw, f, lookups.get(f.name), raw_is_array=False)
             t_cols += [v.alias(_v(f.name)), r.alias(_r(f.name))]
             done.append(f.name)
+        elif f.allows_multiple:
+            t_cols.append(cells.multi_transform(F.col(f"__xa_{f.name}"), f, lookups.get(f.name))
+                          .alias(f"__ta_{f.name}"))
         elif f.name in array_fields:
             v = F.lit(None).cast(f.spark_type)
             r = F.when(raw.isNotNull(), F.concat(cells.original_text(raw, True), F.lit(" is not a valid " + f.type)))
@@ -172,11 +177,14 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
     c_cols, carry = [], [F.col(_v(n)) for n in done] + [F.col(_r(n)) for n in done]
     for f in scalar:
         x = F.col(f"__t_{f.name}")
-        transformed = cells.transform(F.lit("x"), f, cells.NoLookup()) is not None
         cv, cr = cells.cast(x, f)
         c_cols += [F.col(f"__tr_{f.name}"), F.col(f"__b_{f.name}"),
-                   cells.blank_after_transform(x, f, transformed).alias(f"__xb_{f.name}"),
+                   cells.blank_after_transform(x, f, cells.has_transform(f)).alias(f"__xb_{f.name}"),
                    cv.alias(f"__c_{f.name}"), cr.alias(f"__cr_{f.name}")]
+    for f in multi:
+        ta = F.col(f"__ta_{f.name}")
+        c_cols += [cells.first_reason(ta).alias(f"__mtr_{f.name}"),
+                   cells.multi_cast(ta, f).alias(f"__mca_{f.name}")]
     s3 = s2.select(*keep, *carry, *c_cols)
     # 4: first reason wins; blanks are neither values nor errors
     out = []
@@ -186,6 +194,9 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
         value = F.when(~b & ~xb & F.col(f"__tr_{f.name}").isNull() & F.col(f"__cr_{f.name}").isNull(),
                        F.col(f"__c_{f.name}"))
         out += [value.alias(_v(f.name)), reason.alias(_r(f.name))]
+    for f in multi:
+        v, r = cells.multi_final(F.col(f.name), F.col(f"__mtr_{f.name}"), F.col(f"__mca_{f.name}"))
+        out += [v.alias(_v(f.name)), r.alias(_r(f.name))]
     s4 = s3.select(*keep, *carry, *out)
     order = [F.col(c) for c in cols]
     for f in fields:

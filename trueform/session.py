@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "trueform") -> SparkSession:
+              app_name: str = "trueform", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE on, UTC time and the UI off."""
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -22,11 +22,12 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # 93 fields x (value, reason) exceed the default codegen field limit
-        .config("spark.sql.codegen.maxFields", "1000")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        # local mode runs every task in the driver JVM; wide plans need heap
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark

@@ -22,6 +22,7 @@ _MODULES = (
     "trueform.workloads.sources_q",
     "trueform.workloads.reports_q",
     "trueform.workloads.runs_q",
+    "trueform.workloads.mission_q",
 )
 
 
