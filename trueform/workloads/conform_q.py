@@ -174,3 +174,21 @@ def f22_invalid_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def h1_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1: rows to upload, rows dropped, values dropped."""
     return run_events(spark, sf_dir).summary()
+
+
+G2_SQL = "WITH " + EVENTS_ORACLE_CTE.replace(
+    "CASE WHEN NOT day_blank THEN day_d END AS dday", "CAST(NULL AS DATE) AS dday").replace(
+    "CASE WHEN NOT day_blank AND day_d IS NULL THEN concat(day, ' is not a valid date') END AS day_r",
+    "CAST(NULL AS VARCHAR) AS day_r") + """
+SELECT event_id, et_raw AS event_type, uid_raw AS user_id, val_raw AS value, status AS drop_kind,
+  array_to_string(list_filter([CASE WHEN et IS NULL THEN 'event_type' END, CASE WHEN uid IS NULL THEN 'user_id' END,
+                               'day'], lambda x: x IS NOT NULL), ',') AS missing_fields
+FROM st"""
+
+
+@register("g2_absent", G2_SQL)
+def g2_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A required column missing from the data reads as all null, so every row drops."""
+    from pyspark.sql import functions as F
+    res = process(dirty_events(spark, sf_dir).drop("day"), EVENTS_SPEC)
+    return res.dropped.withColumn("missing_fields", F.array_join("missing_fields", ","))
