@@ -60,11 +60,20 @@ def is_num(c: Column) -> Column:
     return c.rlike(NUMERIC_PATTERN)
 
 
-def is_int(c: Column, d: Column | None = None) -> Column:
+def _whole_sql(name: str) -> str:
+    n = "`" + name.replace("`", "``") + "`"
+    return (f"coalesce(NOT isnan({n}) AND abs({n}) < CAST('Infinity' AS DOUBLE) "
+            f"AND bround({n}, 0) = {n}, false)")
+
+
+def is_int(c: Column, d: Column | str | None = None) -> Column:
     """float-parsable and whole; nan and inf are not whole.
 
-    ``d`` may carry an already computed :func:`as_double` of ``c``.
+    ``d`` may carry an already computed :func:`as_double` of ``c``, as a Column
+    or as the name of a staged column (then one parsed expression).
     """
+    if isinstance(d, str):
+        return F.expr(_whole_sql(d))
     d = as_double(c) if d is None else d
     return F.coalesce(
         ~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))) & (F.bround(d, 0) == d),
@@ -72,8 +81,11 @@ def is_int(c: Column, d: Column | None = None) -> Column:
     )
 
 
-def int_value(c: Column, d: Column | None = None) -> Column:
+def int_value(c: Column, d: Column | str | None = None) -> Column:
     """Whole-number text to bigint (``3``, ``3.0``, `` 3 ``); null otherwise."""
+    if isinstance(d, str):
+        n = "`" + d.replace("`", "``") + "`"
+        return F.expr(f"CASE WHEN {_whole_sql(d)} THEN try_cast({n} AS BIGINT) END")
     d = as_double(c) if d is None else d
     return F.when(is_int(c, d), d.try_cast("bigint"))
 
@@ -175,7 +187,7 @@ def _first_by_lower(options: list[tuple[str, object]]) -> list[tuple[str, object
     return list(seen.items())
 
 
-def mapping_key(field: FieldSpec, v: Column, d: Column | None = None) -> Column:
+def mapping_key(field: FieldSpec, v: Column, d: Column | str | None = None) -> Column:
     """Text used to look a raw value up in the field's mapping.
 
     Booleans normalise whole numbers first (``1.0`` -> ``1``).
@@ -187,9 +199,24 @@ def mapping_key(field: FieldSpec, v: Column, d: Column | None = None) -> Column:
 
 # -- F4-F9: transforms ------------------------------------------------------------
 
-def transform_enum(v: Column, field: FieldSpec, lookup: Lookup, d: Column | None = None) -> Pair:
+def transform_enum(v: Column, field: FieldSpec, lookup: Lookup, d: Column | str | None = None) -> Pair:
     """F4 boolean / F5 integer enum / F6 string enum."""
     key = mapping_key(field, v, d)
+    unmapped = isinstance(lookup, NoLookup) or (isinstance(lookup, MapLookup) and not lookup.pairs)
+    if unmapped:  # no mapping for the field: the mapping branches are constant false
+        if field.enum_mapping is not None:
+            ci = _literal_map(_first_by_lower(list(field.enum_mapping)))
+            whole = int_value(v, d)
+            ci_code = F.try_element_at(ci, F.lower(v))
+            return (F.coalesce(whole, ci_code),
+                    F.when(whole.isNull() & ci_code.isNull(), F.concat(v, F.lit(NOT_MAPPED))))
+        options = field.options
+        ci = _literal_map(_first_by_lower([(o, o) for o in options]))
+        ci_val = F.try_element_at(ci, F.lower(key))
+        msg = F.concat(key, F.lit(NOT_MAPPED))
+        if field.type == "boolean":
+            msg = F.concat(msg, F.lit(f" ({options!r})"))
+        return ci_val, F.when(ci_val.isNull(), msg)
     hit, out = lookup.hit(key), lookup.out(key)
     mapped_blank = hit & is_blank(out)
     if field.enum_mapping is not None:
@@ -228,7 +255,7 @@ def transform_state(v: Column) -> Pair:
     return code, F.when(code.isNull(), F.concat(v, F.lit(" is not a valid state")))
 
 
-def transform_int(v: Column, d: Column | None = None) -> Pair:
+def transform_int(v: Column, d: Column | str | None = None) -> Pair:
     """whole number -> bigint, else reason."""
     val = int_value(v, d)
     return val, F.when(val.isNull(), F.concat(v, F.lit(" is not an integer")))
@@ -245,7 +272,7 @@ def has_transform(field: FieldSpec) -> bool:
             or field.transform in ("prefix", "state"))
 
 
-def transform(v: Column, field: FieldSpec, lookup: Lookup, d: Column | None = None) -> Pair | None:
+def transform(v: Column, field: FieldSpec, lookup: Lookup, d: Column | str | None = None) -> Pair | None:
     """F20 transform-phase dispatch; None when the field has no transform."""
     if field.is_enum or field.type == "boolean":
         return transform_enum(v, field, lookup, d)

@@ -167,7 +167,7 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
             t_cols += [v.alias(_v(f.name)), r.alias(_r(f.name))]
             done.append(f.name)
         else:
-            d = F.col(f"__d_{f.name}") if cells.needs_number(f) else None
+            d = f"__d_{f.name}" if cells.needs_number(f) else None
             tr = cells.transform(raw, f, lookups.get(f.name) or cells.NoLookup(), d)
             tv, trr = (raw, F.lit(None).cast("string")) if tr is None else tr
             t_cols += [tv.alias(f"__t_{f.name}"), trr.alias(f"__tr_{f.name}"),
