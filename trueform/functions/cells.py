@@ -63,7 +63,7 @@ def is_num(c: Column) -> Column:
 def _whole_sql(name: str) -> str:
     n = "`" + name.replace("`", "``") + "`"
     return (f"coalesce(NOT isnan({n}) AND abs({n}) < CAST('Infinity' AS DOUBLE) "
-            f"AND bround({n}, 0) = {n}, false)")
+            f"AND rint({n}) = {n}, false)")
 
 
 def is_int(c: Column, d: Column | str | None = None) -> Column:
@@ -76,7 +76,7 @@ def is_int(c: Column, d: Column | str | None = None) -> Column:
         return F.expr(_whole_sql(d))
     d = as_double(c) if d is None else d
     return F.coalesce(
-        ~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))) & (F.bround(d, 0) == d),
+        ~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))) & (F.rint(d) == d),
         F.lit(False),
     )
 
