@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trueform.functions.dates import lenient_date
+from trueform.functions.dates import lenient_date, lenient_date_sql
 from trueform.functions.states import state_code
 from trueform.plans.spec import FieldSpec
 
@@ -341,6 +341,15 @@ def _constraint_reason(x: Column, field: FieldSpec, generic: Column) -> Column:
     return F.when(bad, generic)
 
 
+def cast_named(name: str, field: FieldSpec) -> Pair:
+    """:func:`cast` of a named (staged) column; dates parse as one SQL expression."""
+    x = F.col(name)
+    if field.type == "date":
+        val = F.expr(lenient_date_sql(name))
+        return val, F.when(val.isNull(), F.concat(x, F.lit(" is not a valid date")))
+    return cast(x, field)
+
+
 def cast(x: Column, field: FieldSpec) -> Pair:
     """Cast phase on a non-blank value; returns (typed value, reason)."""
     t = field.type

@@ -58,6 +58,28 @@ def lenient_date(x: Column) -> Column:
     return F.coalesce(*tries)
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_regex(p: str) -> str:
+    return "'" + p.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def lenient_date_sql(name: str) -> str:
+    """:func:`lenient_date` of a named column as one SQL expression (same layouts)."""
+    s = f"btrim({_q(name)})"
+    tries = [f"CASE WHEN {s} RLIKE {_sql_regex(shape)} THEN try_to_date({s}, '{fmt}') END"
+             for fmt, shape in DATE_FORMATS]
+    yy = lambda i: f"regexp_extract({s}, {_sql_regex(_TWO_DIGIT_YEAR)}, {i})"
+    cand = f"(2000 + CAST({yy(3)} AS INT))"
+    year = f"(CASE WHEN {cand} >= year(current_date()) + 50 THEN {cand} - 100 ELSE {cand} END)"
+    text = f"concat_ws('-', CAST({year} AS STRING), {yy(1)}, {yy(2)})"
+    tries.append(f"CASE WHEN {s} RLIKE {_sql_regex(_TWO_DIGIT_YEAR)} THEN try_to_date({text}, 'yyyy-M-d') END")
+    tries.append(f"CASE WHEN {s} RLIKE {_sql_regex(_ISO_TS)} THEN to_date(try_to_timestamp({s})) END")
+    return "coalesce(" + ", ".join(tries) + ")"
+
+
 def day_bounds(start: _dt.date, end: _dt.date) -> tuple[str, str]:
     """Inclusive bounds, start at 00:00:00 and end at 23:59:59 (ISO text)."""
     lo = _dt.datetime.combine(start, _dt.time(0, 0, 0)).isoformat()

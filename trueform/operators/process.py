@@ -15,7 +15,6 @@ duplicate-key count) all read it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from typing import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -51,12 +50,30 @@ def _r(name: str) -> str:
     return f"__r_{name}"
 
 
-@dataclass
 class ProcessResult:
-    conformed: DataFrame
-    dropped: DataFrame
-    invalid: DataFrame
-    base: DataFrame
+    """Conformed rows plus the dropped-row and invalid-value frames.
+
+    ``dropped`` and ``invalid`` are built on first access, so a caller that only
+    needs the conformed rows does not pay for planning them.
+    """
+
+    def __init__(self, conformed: DataFrame, base: DataFrame, make_dropped, make_invalid):
+        self.conformed = conformed
+        self.base = base
+        self._make_dropped, self._make_invalid = make_dropped, make_invalid
+        self._dropped = self._invalid = None
+
+    @property
+    def dropped(self) -> DataFrame:
+        if self._dropped is None:
+            self._dropped = self._make_dropped()
+        return self._dropped
+
+    @property
+    def invalid(self) -> DataFrame:
+        if self._invalid is None:
+            self._invalid = self._make_invalid()
+        return self._invalid
 
     def summary(self) -> DataFrame:
         """H1 in one aggregation: rows to upload, rows dropped, values dropped."""
@@ -177,7 +194,7 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
     c_cols, carry = [], [F.col(_v(n)) for n in done] + [F.col(_r(n)) for n in done]
     for f in scalar:
         x = F.col(f"__t_{f.name}")
-        cv, cr = cells.cast(x, f)
+        cv, cr = cells.cast_named(f"__t_{f.name}", f)
         c_cols += [F.col(f"__tr_{f.name}"), F.col(f"__b_{f.name}"),
                    cells.blank_after_transform(x, f, cells.has_transform(f)).alias(f"__xb_{f.name}"),
                    cv.alias(f"__c_{f.name}"), cr.alias(f"__cr_{f.name}")]
@@ -250,22 +267,25 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
             out_cols.append(F.col(c))
     conformed = parent.where(F.col("__status") == "kept").select(*out_cols)
 
-    # dropped: pre-transform rows; duplicates carry conformed required fields
-    d_cols = []
-    for c in src_cols:
-        if c in required and spec.has(c):
-            d_cols.append(F.when(F.col("__status") == "duplicate", F.col(_v(c)).cast("string"))
-                          .otherwise(F.col(c).cast("string")).alias(c))
-        else:
-            d_cols.append(F.col(c))
-    dropped = parent.where(F.col("__status") != "kept").select(
-        *d_cols,
-        F.col("__status").alias("drop_kind"),
-        F.when(F.col("__status") == "missing", F.col("__missing")).alias("missing_fields"),
-    )
-
-    invalid = invalid_values(parent, spec, fields, array_fields, cols)
-    return ProcessResult(conformed, dropped, invalid, parent)
+    def make_dropped() -> DataFrame:
+        # pre-transform rows; duplicates carry conformed required fields
+        d_cols = []
+        for c in src_cols:
+            if c in required and spec.has(c):
+                d_cols.append(F.when(F.col("__status") == "duplicate", F.col(_v(c)).cast("string"))
+                              .otherwise(F.col(c).cast("string")).alias(c))
+            else:
+                d_cols.append(F.col(c))
+        return parent.where(F.col("__status") != "kept").select(
+            *d_cols,
+            F.col("__status").alias("drop_kind"),
+            F.when(F.col("__status") == "missing", F.col("__missing")).alias("missing_fields"),
+        )
+
+    def make_invalid() -> DataFrame:
+        return invalid_values(parent, spec, fields, array_fields, cols)
+
+    return ProcessResult(conformed, parent, make_dropped, make_invalid)
 
 
 def invalid_values(parent: DataFrame, spec: TableSpec, fields: list[FieldSpec],
