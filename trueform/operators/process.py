@@ -185,7 +185,7 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
             done.append(f.name)
         else:
             d = f"__d_{f.name}" if cells.needs_number(f) else None
-            tr = cells.transform(raw, f, lookups.get(f.name) or cells.NoLookup(), d)
+            tr = cells.transform_named(f.name, f, lookups.get(f.name), d) if cells.has_transform(f) else None
             tv, trr = (raw, F.lit(None).cast("string")) if tr is None else tr
             t_cols += [tv.alias(f"__t_{f.name}"), trr.alias(f"__tr_{f.name}"),
                        cells.is_blank(raw).alias(f"__b_{f.name}")]
