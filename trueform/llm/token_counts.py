@@ -93,6 +93,12 @@ class Counter:
         return sum(map(self, _units.findall(" " + text))) if text else 0
 
 
+@lru_cache(maxsize=1)
+def counter(path: str) -> Counter:
+    """Kept by a Python worker from task to task."""
+    return Counter(vocabulary(path))
+
+
 def token_counts(documents: DataFrame, model_path: str) -> DataFrame:
     """doc_id, n_tokens, n_bytes (UTF-8) of each row's whole text.
 
@@ -103,13 +109,13 @@ def token_counts(documents: DataFrame, model_path: str) -> DataFrame:
                            T.StructField("n_tokens", T.LongType()), T.StructField("n_bytes", T.LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(vocabulary(model_path))
+        counts = counter(model_path)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 texts = batch.column("text")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([counter.count(t) for t in texts.to_pylist()], pa.int64()),
+                    [batch.column("doc_id"), pa.array([counts.count(t) for t in texts.to_pylist()], pa.int64()),
                      pc.binary_length(texts).fill_null(0).cast(pa.int64())], names=schema.names)
 
     return documents.select("doc_id", "text").mapInArrow(count, schema)
