@@ -6,12 +6,12 @@ among the rarest of each (prefix filter), and a document with fewer than
 ``matches`` lists of two or more documents meets nobody and is skipped. Pairs
 from the lists are confirmed on the full shingle sets.
 
-Equal sets are folded into one representative first. Posting lists are read in
-two phases, so no list is ever expanded into all its pairs: first every document
-meets only the least document of its lists; links found there join documents
-into groups. Then lists that still hold several groups yield the pairs across
-groups, and only those. Pairs inside a group need no test: their documents are
-connected already.
+Equal sets are folded into one representative first. No list is expanded
+into all its pairs. First every document meets only the heads of its lists (a
+list's head is its document with the most company); links found there join
+documents into groups. Documents that share a list share its head, so the
+documents of each head that are still in different groups are then compared in
+blocks. Pairs inside a group need no test: their documents are connected already.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from trueform.llm.common import byte_slices, flat_text, list_array, saved
@@ -27,6 +28,7 @@ from trueform.llm.components import connected_components
 from trueform.llm.textbytes import Hashed, U, lower_ascii, mix, runs, shingles
 
 SHINGLE, THRESHOLD = 5, 80
+BLOCK = 256  # documents in a block
 COORDINATES, MATCHES = 96, 58  # a pair at similarity 0.8 agrees in fewer than 58 of 96 about twice in a million
 
 _word = np.ones(256, dtype=bool)
@@ -92,14 +94,15 @@ def shingle_sets(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def postings(representatives: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """(list, rep, n): the prefix of each representative, its rarest shared lists."""
+    """(list, rep, n, weight): the prefix of each representative, its rarest shared lists;
+    weight adds up the sizes of all its shared lists."""
     post = representatives.select("rep", F.col("n_shingles").alias("n"), F.posexplode("sig").alias("c", "v")).select(
         "rep", "n", (F.shiftleft(F.col("c").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(0xFFFFFFFF))).alias("list"))
     shared = saved(post.groupBy("list").agg(F.count("*").alias("size")).filter("size > 1"), "lists")
     by_rep = Window.partitionBy("rep", "n")
-    ranked = (post.join(shared, "list").withColumn("m", F.count("*").over(by_rep)).filter(F.col("m") >= matches)
+    ranked = (post.join(shared, "list").withColumn("m", F.count("*").over(by_rep)).withColumn("weight", F.sum("size").over(by_rep)).filter(F.col("m") >= matches)
               .withColumn("rank", F.row_number().over(by_rep.orderBy("size", "list"))))
-    return ranked.filter(F.col("rank") <= F.col("m") - matches + 1).select("list", "rep", "n")
+    return ranked.filter(F.col("rank") <= F.col("m") - matches + 1).select("list", "rep", "n", "weight")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -110,6 +113,72 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             .filter(both * 100 >= (F.size("x") + F.size("y") - both) * threshold).select("a", "b"))
 
 
+def across_groups(members: DataFrame, groups: DataFrame, sets: DataFrame, threshold: int, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between documents of one head that are in different groups so far.
+
+    The members of a head that are not in the head's own group meet each other
+    and those in it, block against block; a block pair is one small task that
+    puts out a spanning set of its links. Pairs within the head's group are
+    connected already and never compared.
+    """
+    group = groups.select(F.col("node").alias("rep"), F.col("component").alias("g"))
+    known = members.select("head", "rep").join(group, "rep", "left").withColumn("g", F.coalesce("g", "rep"))
+    own = groups.select(F.col("node").alias("head"), F.col("component").alias("hg"))
+    known = saved(known.join(own, "head", "left").withColumn("inside", F.col("g") == F.coalesce("hg", "head")).select("head", "rep", "g", "inside"), "known")
+    inside = F.col("inside").cast("int")
+    sizes = saved(known.groupBy("head").agg(F.sum(inside).alias("ins"), F.sum(1 - inside).alias("outs"))
+                  .filter("outs > 1 or outs = 1 and ins > 1"), "sizes")
+    blocks = lambda n: F.ceil(F.col(n) / block).cast("int")
+    dealt = known.join(sizes, "head").withColumn("own", F.pmod(F.xxhash64("rep"), F.when(F.col("inside"), blocks("ins")).otherwise(blocks("outs"))).cast("int"))
+    outer = F.transform(F.sequence(F.lit(0), blocks("outs") - 1), lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j"), F.lit(False).alias("mixed"), (F.col("own") > o).alias("right")))
+    with_inside = F.transform(F.sequence(F.lit(0), blocks("ins") - 1), lambda o: F.struct(o.alias("i"), F.col("own").alias("j"), F.lit(True).alias("mixed"), F.lit(True).alias("right")))
+    for_inside = F.transform(F.sequence(F.lit(0), blocks("outs") - 1), lambda o: F.struct(F.col("own").alias("i"), o.alias("j"), F.lit(True).alias("mixed"), F.lit(False).alias("right")))
+    nothing = F.filter(outer, lambda x: F.lit(False))
+    places = F.when(F.col("inside"), for_inside).otherwise(F.concat(outer, F.when(F.col("ins") > 0, with_inside).otherwise(nothing)))
+    placed = dealt.select("head", "rep", "g", F.explode(places).alias("p")).select("head", "p.*", "rep", "g")
+    rows = placed.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    id_type = members.schema["rep"].dataType
+    schema = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        ids, g = table.column("rep").to_numpy(), table.column("g").to_numpy()
+        right = table.column("right").to_numpy()
+        flat, sizes = np.asarray(pc.list_flatten(table.column("shingles")).combine_chunks()), np.asarray(pc.list_value_length(table.column("shingles")))
+        code, row = np.unique(flat, return_inverse=True)[1], np.repeat(np.arange(len(ids)), sizes)
+        shared = np.bincount(code) > 1
+        rank = np.cumsum(shared) - 1
+        row, code = row[shared[code]], rank[code[shared[code]]]
+        left = np.flatnonzero(~right) if right.any() else np.arange(len(ids))
+        other = np.flatnonzero(right) if right.any() else left
+        both = np.zeros((len(left), len(other)), dtype=np.float32)
+        order = np.argsort(code, kind="stable")
+        row, code = row[order], code[order]
+        for at in range(0, int(shared.sum()), 8192):
+            a, b = np.searchsorted(code, [at, at + 8192])
+            held = np.zeros((len(ids), 8192), dtype=np.float32)
+            held[row[a:b], code[a:b] - at] = 1
+            both += held[left] @ held[other].T
+        total = sizes[left][:, None] + sizes[other][None, :] - both
+        x, y = np.nonzero((both * 100 >= total * threshold) & (g[left][:, None] != g[other][None, :]))
+        met: dict[int, int] = {}
+
+        def root(k: int) -> int:
+            while met.get(k, k) != k:
+                met[k] = met.get(met[k], met[k])
+                k = met[k]
+            return k
+
+        out = []
+        for p, q in zip(left[x].tolist(), other[y].tolist()):
+            rp, rq = root(int(g[p])), root(int(g[q]))
+            if rp != rq:
+                met[rp] = rq
+                out.append((p, q))
+        return pa.table({"a": pa.array(ids[[p for p, _ in out]]), "b": pa.array(ids[[q for _, q in out]])}).cast(pa.schema([("a", table.schema.field("rep").type), ("b", table.schema.field("rep").type)]))
+
+    return rows.groupBy("head", "mixed", "i", "j").applyInArrow(compare, schema)
+
+
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD,
                     coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
     """Per document row: doc_id, n_shingles, component_id, kept.
@@ -127,23 +196,14 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, threshold: int
     signed = named.join(classes.withColumnRenamed("rep", "doc_id"), [*digest, "doc_id"], "left_semi")
     prefix = saved(postings(signed.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep", *digest]), coordinates, matches), "postings")
 
-    fits = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * threshold)  # noqa: E731  sizes alone allow a link
+    fits = F.least("n", "hn") * 100 >= F.greatest("n", "hn") * threshold  # sizes alone allow a link
     sets = saved(shingle_sets(documents.join(prefix.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), shingle), "sets")
-    heads = saved(prefix.groupBy("list").agg(F.min(F.struct("rep", "n")).alias("head"), F.count("*").alias("size"))
-                  .filter("size > 1").select("list", F.col("head.rep").alias("b"), F.col("head.n").alias("bn")), "heads")
-    met = prefix.join(heads, "list").filter((F.col("rep") != F.col("b")) & fits(F.col("n"), F.col("bn")))
-    first = saved(confirm(saved(met.select(F.col("rep").alias("a"), "b").distinct(), "pairs"), sets, threshold), "links")
-
+    heads = saved(prefix.groupBy("list").agg(F.max(F.struct("weight", "rep", "n")).alias("head"), F.count("*").alias("size"))
+                  .filter("size > 1").select("list", F.col("head.rep").alias("head"), F.col("head.n").alias("hn")), "heads")
+    members = saved(prefix.join(heads, "list").select("head", "hn", "rep", "n").distinct(), "members")
+    first = saved(confirm(members.filter((F.col("rep") != F.col("head")) & fits).select(F.col("rep").alias("a"), F.col("head").alias("b")), sets, threshold), "links")
     groups = saved(connected_components(first), "groups")
-    grouped = saved(prefix.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-                    .select("list", "rep", "n", F.coalesce("component", "rep").alias("g")), "grouped")
-    mixed = saved(grouped.groupBy("list").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low <> high").select("list"), "mixed")
-    open_ = saved(grouped.join(mixed, "list"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    across = (x.join(y, "list").filter((F.col("x.g") < F.col("y.g")) & fits(F.col("x.n"), F.col("y.n")))
-              .select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct())
-    tested = saved(across.join(met.select(F.col("rep").alias("a"), "b").distinct(), ["a", "b"], "left_anti"), "pairs")
-    second = saved(confirm(tested, sets, threshold), "links")
+    second = saved(across_groups(members, groups, sets, threshold), "links")
     final = saved(connected_components(first.union(second)), "components")
 
     of_class = (classes.join(final.withColumnRenamed("node", "rep"), "rep", "left")
