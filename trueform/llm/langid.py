@@ -39,7 +39,7 @@ def codewords(n: int) -> np.ndarray:
     """n distinct rows of +1 and -1: all splits of up to six languages, else random words of 10 log2 n bits."""
     if n <= 6:
         bits = np.arange(1, 1 << max(0, n - 1))
-        return np.where((bits[None, :] >> np.arange(n)[:, None]) & 1, 1, -1).reshape(n, -1)
+        return np.where((bits[None, :] >> np.arange(n)[:, None]) & 1, 1, -1).reshape(n, len(bits))
     rng, best, far = np.random.default_rng(11), None, -1
     for _ in range(50):  # keep the draw whose nearest two words are farthest apart
         draw = rng.choice([-1, 1], size=(n, int(10 * np.ceil(np.log2(n)))))

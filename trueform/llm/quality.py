@@ -159,7 +159,7 @@ def ridge(row: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray,
     return weights, bias
 
 
-def shrunk(groups: DataFrame, centre: Column, spread: tuple[str, ...], name: str) -> DataFrame:
+def shrunk(groups: DataFrame, centre: Column, name: str) -> DataFrame:
     """Adds ``name``: the posterior rate pos/n shrunk towards ``centre``.
 
     The prior's strength is m = c(1-c)/v - 1, with v the variance of the groups'
@@ -182,9 +182,9 @@ def site_rates(labelled: DataFrame, target: str, host: str, path: str) -> tuple[
     hosts = paths.groupBy(host).agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
     n, pos = (float(x or 0) for x in hosts.agg(F.sum("n"), F.sum("pos")).first())
     rate = (pos + 0.5) / (n + 1)
-    hosts = saved(shrunk(hosts, F.lit(rate), (host,), "host_rate").select(host, "host_rate"), "hosts")
+    hosts = saved(shrunk(hosts, F.lit(rate), "host_rate").select(host, "host_rate"), "hosts")
     joined = paths.join(hosts.withColumnRenamed(host, "__h"), F.col(host).eqNullSafe(F.col("__h"))).drop("__h")
-    return hosts, saved(shrunk(joined, F.col("host_rate"), (host, path), "path_rate").select(host, path, "path_rate"), "paths"), rate
+    return hosts, saved(shrunk(joined, F.col("host_rate"), "path_rate").select(host, path, "path_rate"), "paths"), rate
 
 
 def evidence_scores(documents: DataFrame, models: dict[str, Evidence]) -> DataFrame:

@@ -95,7 +95,9 @@ def find_runs(documents: DataFrame, length: int, gram: int) -> DataFrame:
                 again = np.zeros(len(order), dtype=bool)
                 x, y = order[1:], order[:-1]
                 again[x] = (g[x] == g[y]) & (digest[x] == digest[y])
-                yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(doc), pa.array(loc), pa.array(again)], names=schema.names)
+                once = np.ones(len(order), dtype=bool)  # a repeated row of a document adds nothing
+                once[x] = ~again[x] | (doc[x] != doc[y]) | (loc[x] != loc[y])
+                yield pa.RecordBatch.from_arrays([pa.array(c[once]) for c in (g.view(np.int64), digest.view(np.int64), doc, loc, again)], names=schema.names)
 
     return documents.mapInArrow(find, schema)
 
@@ -107,8 +109,10 @@ def settle_runs(runs: DataFrame) -> DataFrame:
     keyed = runs.withColumn("g", F.when(F.col("done"), F.xxhash64("doc_id", "loc")).otherwise(F.col("g")))
     by_gram = Window.partitionBy("g", "done").orderBy("digest", "doc_id", "loc")
     new = ~F.col("done") & F.coalesce(F.lag("digest").over(by_gram) != F.col("digest"), F.lit(True))
+    same = F.coalesce((F.lag("digest").over(by_gram) == F.col("digest")) & (F.lag("doc_id").over(by_gram) == F.col("doc_id"))
+                      & (F.lag("loc").over(by_gram) == F.col("loc")), F.lit(False))  # a repeated row of a document
     kinds = F.sum(F.col("new").cast("int")).over(Window.partitionBy("g", "done"))
-    return (keyed.withColumn("new", new).withColumn("kinds", kinds).filter("not new or kinds > 1")
+    return (keyed.withColumn("new", new).withColumn("same", same).withColumn("kinds", kinds).filter("not same and (not new or kinds > 1)")
             .select("doc_id", "loc", F.when(F.col("new"), F.col("g")).alias("g"), "kinds"))
 
 
@@ -257,7 +261,7 @@ def match_suffixes(coded: DataFrame, length: int, gram: int) -> DataFrame:
         order = np.lexsort((start, doc[item], window, g[item]))
         x, y = order[1:], order[:-1]
         again = np.zeros(len(order), dtype=bool)
-        again[x] = (g[item[x]] == g[item[y]]) & (window[x] == window[y])
+        again[x] = (g[item[x]] == g[item[y]]) & (window[x] == window[y]) & ((doc[item[x]] != doc[item[y]]) | (start[x] != start[y]))
         # removed windows of one item that touch become one span
         gone = np.flatnonzero(again)
         new = np.ones(len(gone), dtype=bool)
