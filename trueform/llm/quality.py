@@ -71,46 +71,49 @@ class Evidence:
         return np.bincount(row, value * self.weights[bucket], rows) + self.offset
 
 
-def bucket_counts(labelled: DataFrame, targets: tuple[str, ...]) -> dict[str, np.ndarray]:
-    """For each target, how many texts of class 0 and 1 hold each bucket; in the last column, how many there are."""
+def choose_buckets(labelled: DataFrame, targets: tuple[str, ...]) -> dict[str, np.ndarray]:
+    """For each target that has both classes, the buckets whose rates differ most between them (CHOSEN at most)."""
+    cells = [f"{t}_{v}" for t in targets for v in (0, 1)]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((len(targets), 2, (1 << BUCKET_BITS) + 1), np.int64)
+        table = np.zeros((len(cells), (1 << BUCKET_BITS) + 1), np.int32)  # the last column counts texts
         for whole in batches:
             for batch in byte_slices(whole, "text"):
                 row, bucket = features(batch.column("text"))
                 keys = np.unique((row << BUCKET_BITS) | bucket)
                 row, bucket = keys >> BUCKET_BITS, keys & ((1 << BUCKET_BITS) - 1)
-                for t, name in enumerate(targets):
-                    y = np.asarray(batch.column(name).fill_null(-1)).astype(np.int64)
-                    for v in (0, 1):
-                        table[t, v, :-1] += np.bincount(bucket[y[row] == v], minlength=1 << BUCKET_BITS)
-                        table[t, v, -1] += (y == v).sum()
-        at = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table.ravel()[at])], names=["cell", "n"])
-
-    cells = labelled.select("text", *targets).mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    table = np.zeros(len(targets) * 2 * ((1 << BUCKET_BITS) + 1))
-    table[cells["cell"].to_numpy()] = cells["n"]
-    return dict(zip(targets, table.reshape(len(targets), 2, -1)))
+                for c, name in enumerate(cells):
+                    y = np.asarray(batch.column(name[:-2]).fill_null(-1)) == int(name[-1])
+                    table[c, :-1] += np.bincount(bucket[y[row]], minlength=1 << BUCKET_BITS).astype(np.int32)
+                    table[c, -1] += y.sum()
+        at = np.flatnonzero(table.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(table[c, at].astype(np.int64)) for c in range(len(cells)))], names=["bucket", *cells])
+
+    schema = "bucket long, " + ", ".join(f"`{c}` long" for c in cells)
+    grouped = saved(labelled.select("text", *targets).mapInArrow(count, schema).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in cells]), "buckets")
+    totals = grouped.filter(F.col("bucket") == 1 << BUCKET_BITS).first()
+    out = {}
+    for t in targets:
+        no, yes = (totals[f"{t}_0"], totals[f"{t}_1"]) if totals else (0, 0)
+        if no and yes:
+            seen = F.col(f"{t}_0") + F.col(f"{t}_1")
+            pooled = (seen + 0.5) / (no + yes + 1)
+            z = F.abs(F.col(f"{t}_1") / yes - F.col(f"{t}_0") / no) / F.sqrt(pooled * (1 - pooled) * (1 / no + 1 / yes))
+            best = grouped.filter(F.col("bucket") < 1 << BUCKET_BITS).select("bucket", z.alias("z")).filter(F.col("z") > LEAST_Z)
+            out[t] = np.array([r[0] for r in best.orderBy(F.desc("z"), "bucket").limit(CHOSEN).collect()], dtype=np.int64)
+    return out
 
 
 def learn(labelled: DataFrame, targets: tuple[str, ...]) -> dict[str, Evidence]:
     """Word evidence of each target from a bounded table of rows (text, targets 0 or 1).
 
     The buckets whose rates differ most between the classes are taken, and a
-    ridge logistic regression weighs them. To the driver come the bucket counts
-    (2**18 a class at most) and the chosen buckets of the sampled rows.
+    ridge logistic regression weighs them. To the driver come the chosen buckets
+    and where the bounded rows hold them.
     """
-    counts = bucket_counts(labelled, targets)
-    chosen, wanted = {}, np.zeros(1 << BUCKET_BITS, dtype=bool)
-    for name, table in counts.items():
-        seen, totals = table[:, :-1], table[:, -1]
-        if totals.min() > 0:
-            pooled = (seen.sum(0) + 0.5) / (totals.sum() + 1)
-            z = np.abs(seen[1] / totals[1] - seen[0] / totals[0]) / np.sqrt(pooled * (1 - pooled) * (1 / totals[0] + 1 / totals[1]))
-            best = np.argsort(-z, kind="stable")[:CHOSEN]
-            chosen[name] = best[z[best] > LEAST_Z]
-            wanted[chosen[name]] = True
+    chosen, wanted = choose_buckets(labelled, targets), np.zeros(1 << BUCKET_BITS, dtype=bool)
+    for best in chosen.values():
+        wanted[best] = True
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int32())
