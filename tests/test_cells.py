@@ -121,3 +121,21 @@ def test_similarity_native_matches_arrow(spark):
                     S.ratio_score_arrow(F.col("a"), F.col("b")).alias("p")).collect()
     assert all(r["n"] == r["p"] for r in got)
     assert got[1]["n"] > 50 and got[2]["n"] == 0
+
+
+def test_number_digits_beyond_six_places_are_invalid(spark):
+    from pyspark.sql import functions as F
+    from trueform.functions import cells
+    from trueform.plans.spec import FieldSpec
+    f = FieldSpec(name="x", type="number")
+    rows = spark.createDataFrame([("1.234567",), ("1.23456789",), ("400.0000004",), ("1.2300000000",), ("0.1000000000000000000001",)], "v string")
+    got = [None if r[0] is None else str(r[0]) for r in rows.select(cells.cast_number(F.col("v"), f)).collect()]
+    assert got == ["1.234567", None, None, "1.230000", None]
+
+
+def test_states_are_not_invented(spark):
+    from pyspark.sql import functions as F
+    from trueform.functions.states import state_code
+    rows = ["Miami", "Money", "Oahu", "Huh", "Genoa", "Taxes", "Arizonna", "Califronia", "texas", "Kansas", "Arkansa"]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in rows], "v string").select(state_code(F.col("v"))).collect()]
+    assert got == [None, None, None, None, None, None, "AZ", "CA", "TX", "KS", "AR"]

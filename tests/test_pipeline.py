@@ -10,24 +10,25 @@ SPEC = load_spec()
 
 
 def site_rows(spark):
-    cols = ["MilestoneFlag", "Case_ID__c", "PersonBirthdate", "Gender__c"]
-    rows = [("Intake", "CASEID-000001", "1/5/1956", "Female"),
-            ("Intake", "CASEID-000002", "1/5/1956", "Male"),
-            ("Intake", "CASEID-000002", "1/6/1956", "Male"),
-            ("Intake", "CASEID-000003", "1982-01-05", "Other"),
-            ("Intake", "CASEID-000004", "", "Female"),
-            ("Intake", "CASEID-000004", "", "Female")]
+    """Six rows of a made-up site: one repeated key, one pair without a birth date, two good ones."""
+    cols = ["MilestoneFlag", "client_no", "born_on", "sex"]
+    rows = [("Intake", "K-17", "3/14/1971", "Male"),
+            ("Intake", "K-22", "7/2/1964", "Female"),
+            ("Intake", "K-22", "7/2/1965", "Female"),
+            ("Intake", "K-31", "1990-11-30", "Other"),
+            ("Intake", "K-44", "", "Male"),
+            ("Intake", "K-44", "", "Male")]
     return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
 
 
-COLMAP = {"Case_ID__c": "CaseNumber", "PersonBirthdate": "DateOfBirth", "Gender__c": "Gender"}
+COLMAP = {"client_no": "CaseNumber", "born_on": "DateOfBirth", "sex": "Gender"}
 
 
 def test_end_to_end(spark):
     res = P.conform({"fake": site_rows(spark)}, SPEC, COLMAP, None, member_id="M-1")
     assert res.status == P.SUCCESS
     kept = sorted(r["CaseNumber"] for r in res.dataset.collect())
-    assert kept == ["CASEID-000001", "CASEID-000003"]
+    assert kept == ["K-17", "K-31"]
     assert res.dropped.count() == 4 and res.invalid.count() == 0
     assert P.route(res) == "upload"
 
@@ -36,7 +37,7 @@ def test_gates(spark):
     df = site_rows(spark)
     assert P.conform({"a": df.limit(0)}, SPEC, COLMAP, None, "M").status == P.NO_DATA
     assert P.conform({"a": df.withColumn("Odd", F.lit("1"))}, SPEC, COLMAP, None, "M").status == P.SHAPE_INVALID
-    typo = df.withColumn("Gender__c", F.lit("Femal"))
+    typo = df.withColumn("sex", F.lit("Femal"))
     res = P.conform({"a": typo}, SPEC, COLMAP, None, "M")
     assert res.status == P.APPROVAL_NEEDED
     assert {(r["input"], r["output"]) for r in res.field_mappings.collect()} == {("Femal", "Female")}

@@ -64,3 +64,34 @@ def test_idempotent_on_own_output(spark):
     again = process(again_in, EVENTS_SPEC)
     assert again.invalid.count() == 0 and again.dropped.count() == 0
     assert again.conformed.count() == first.count()
+
+
+def _big_spec():
+    from trueform.plans.spec import load_spec
+    return load_spec()
+
+
+def test_mapping_of_more_rows_than_a_literal_map(spark):
+    """Row 257 of a mapping: the joined lookup gives what the literal map gives."""
+    from trueform.operators.process import process
+    spec = _big_spec()
+    rows = [(f"K-{i}", "Intake", "M", "1/1/1980", f"g{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "CaseNumber string, MilestoneFlag string, MemberOrganization string, DateOfBirth string, Gender string")
+    maps = spark.createDataFrame([("Gender", f"g{i}", "Male" if i % 2 else "Female", "Yes") for i in range(300)] + [("Gender", None, "Male", "Yes")],
+                                 "field string, input string, output string, approved string")
+    res = process(df, spec, maps, materialize=None)
+    got = {r["CaseNumber"]: r["Gender"] for r in res.conformed.select("CaseNumber", "Gender").collect()}
+    few = process(df, spec, maps.where("input in ('g0', 'g1', 'g2')"), materialize=None)
+    small = {r["CaseNumber"]: r["Gender"] for r in few.conformed.select("CaseNumber", "Gender").collect()}
+    assert len(got) == 300 and len(set(got.values())) == 2
+    assert all(got[k] == small[k] for k in ("K-0", "K-1", "K-2"))
+
+
+def test_unpersist_frees_the_materialised_frame(spark):
+    from trueform.operators.process import process
+    df = spark.createDataFrame([("K-1", "Intake", "M", "1/1/1980")], "CaseNumber string, MilestoneFlag string, MemberOrganization string, DateOfBirth string")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    res = process(df, _big_spec(), None, materialize="persist")
+    res.conformed.count()
+    res.unpersist()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

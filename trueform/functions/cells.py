@@ -118,7 +118,7 @@ class MapLookup(Lookup):
     """
 
     def __init__(self, pairs: dict[str, str | None]):
-        self.pairs = dict(pairs)
+        self.pairs = {k: v for k, v in pairs.items() if k is not None}
         self._map = None
 
     @property
@@ -187,6 +187,11 @@ def _first_by_lower(options: list[tuple[str, object]]) -> list[tuple[str, object
     return list(seen.items())
 
 
+def _last_by_lower(labels: list[tuple[str, object]]) -> list[tuple[str, object]]:
+    """Labels that differ only in case: the last one's code holds."""
+    return list({k.lower(): v for k, v in labels}.items())
+
+
 def mapping_key(field: FieldSpec, v: Column, d: Column | str | None = None) -> Column:
     """Text used to look a raw value up in the field's mapping.
 
@@ -205,7 +210,7 @@ def transform_enum(v: Column, field: FieldSpec, lookup: Lookup, d: Column | str
     unmapped = isinstance(lookup, NoLookup) or (isinstance(lookup, MapLookup) and not lookup.pairs)
     if unmapped:  # no mapping for the field: the mapping branches are constant false
         if field.enum_mapping is not None:
-            ci = _literal_map(_first_by_lower(list(field.enum_mapping)))
+            ci = _literal_map(_last_by_lower(list(field.enum_mapping)))
             whole = int_value(v, d)
             ci_code = F.try_element_at(ci, F.lower(v))
             return (F.coalesce(whole, ci_code),
@@ -221,7 +226,7 @@ def transform_enum(v: Column, field: FieldSpec, lookup: Lookup, d: Column | str
     mapped_blank = hit & is_blank(out)
     if field.enum_mapping is not None:
         exact = _literal_map(list(dict(field.enum_mapping).items()))
-        ci = _literal_map(_first_by_lower(list(field.enum_mapping)))
+        ci = _literal_map(_last_by_lower(list(field.enum_mapping)))
         whole = int_value(v, d)
         mapped_code = F.try_element_at(exact, out)
         ci_code = F.try_element_at(ci, F.lower(v))
@@ -286,7 +291,7 @@ def transform_named(name: str, field: FieldSpec, lookup: Lookup | None, d_name:
         return "map(" + ", ".join(f"{sql_literal(k)}, {sql_literal(x)}" for k, x in pairs) + ")"
 
     if field.enum_mapping is not None:
-        ci = f"try_element_at({smap(_first_by_lower(list(field.enum_mapping)))}, lower({v}))"
+        ci = f"try_element_at({smap(_last_by_lower(list(field.enum_mapping)))}, lower({v}))"
         value = f"coalesce({iv}, {ci})"
         reason = f"CASE WHEN {iv} IS NULL AND {ci} IS NULL THEN concat({v}, {miss}) END"
     elif field.type == "boolean":
@@ -352,11 +357,12 @@ def range_reason(value: Column, field: FieldSpec) -> Column:
 
 
 def cast_number(x: Column, field: FieldSpec) -> Column:
-    """decimal(18,6), group separators removed."""
+    """decimal(18,6), group separators removed; digits beyond six places make the value invalid."""
     text = strip(x)
     if field.group_char:
         text = F.replace(text, F.lit(field.group_char), F.lit(""))
-    return F.when(text.rlike(DECIMAL_PATTERN), text.try_cast("decimal(18,6)"))
+    wide, exact = text.try_cast("decimal(38,18)"), text.try_cast("decimal(18,6)")
+    return F.when(text.rlike(DECIMAL_PATTERN) & ~text.rlike(r"\.\d{18}\d*[1-9]") & (wide == exact), exact)
 
 
 def cast_boolean(x: Column, field: FieldSpec) -> Column:

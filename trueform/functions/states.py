@@ -36,7 +36,7 @@ def _map(pairs) -> Column:
 
 
 def state_code(x: Column) -> Column:
-    """Exact abbreviation, FIPS code or name first; else a unique sound-alike name."""
+    """Exact abbreviation, FIPS code or name first; else the one name nearest in spelling."""
     norm = F.upper(F.regexp_replace(F.btrim(x), r"\s+", " "))
     by_abbr = _map((a, a) for a, _, _ in STATES)
     by_fips = _map((f, a) for a, _, f in STATES)
@@ -47,27 +47,15 @@ def state_code(x: Column) -> Column:
         F.when(norm.rlike(r"^\d{1,2}$"), F.try_element_at(by_fips, fips_key)),
         F.try_element_at(by_name, norm),
     )
-    sx = F.soundex(F.regexp_replace(norm, " ", ""))
-    near = F.when(~norm.rlike(r"^[A-Z]{0,2}$|^\d+$"), F.try_element_at(_unique_soundex_map(), sx))
-    return F.coalesce(exact, near)
-
-
-_SOUNDEX_CACHE: dict[str, str] = {}
-
-
-def _unique_soundex_map() -> Column:
-    """Sound-alike code -> state, for codes that belong to exactly one name.
-
-    The codes come from Spark's own ``soundex`` (one tiny local query, cached),
-    so lookups and keys always agree.
-    """
-    if not _SOUNDEX_CACHE:
-        from pyspark.sql import SparkSession
-        spark = SparkSession.getActiveSession()
-        names = [n.upper().replace(" ", "") for _, n, _ in STATES]
-        row = spark.range(1).select(*[F.soundex(F.lit(n)).alias(f"s{i}") for i, n in enumerate(names)]).first()
-        codes: dict[str, list[str]] = {}
-        for i, (a, _, _) in enumerate(STATES):
-            codes.setdefault(row[f"s{i}"], []).append(a)
-        _SOUNDEX_CACHE.update({k: v[0] for k, v in codes.items() if len(v) == 1})
-    return _map(_SOUNDEX_CACHE.items())
+    return F.coalesce(exact, F.when(~norm.rlike(r"^[A-Z]{0,2}$|^\d+$"), _nearest(norm)))
+
+
+def _nearest(norm: Column) -> Column:
+    """The one state whose name is nearest and near: one edit for words up to five letters, else two."""
+    names = ", ".join(f"struct('{n.upper()}' AS name, '{a}' AS code)" for a, n, _ in STATES)
+    far = F.transform(F.expr(f"array({names})"), lambda s: F.struct(
+        F.levenshtein(norm, s["name"], 2).alias("d"), s["code"].alias("code")))
+    limit = F.when(F.length(norm) <= 5, 1).otherwise(2)
+    near = F.filter(far, lambda s: (s["d"] >= 0) & (s["d"] <= limit))
+    best = F.filter(near, lambda s: s["d"] == F.array_min(near)["d"])
+    return F.when(F.size(best) == 1, best[0]["code"])

@@ -26,10 +26,9 @@ from trueform.operators import rows
 from trueform.plans.spec import FieldSpec, TableSpec
 from trueform.session import materialize as _materialize, spread
 
-#: mappings up to this many entries per field become literal maps
+#: mappings up to this many entries become literal maps; beyond it single-value fields join
+#: the mapping (AQE picks the join), with the same result
 LITERAL_MAP_LIMIT = 256
-#: larger mappings of single-value fields are broadcast joins up to this size
-MAPPING_BROADCAST_LIMIT = 2_000_000
 
 MAPPING_SCHEMA = "field string, input string, output string, approved string"
 
@@ -57,9 +56,10 @@ class ProcessResult:
     needs the conformed rows does not pay for planning them.
     """
 
-    def __init__(self, conformed: DataFrame, base: DataFrame, make_dropped, make_invalid):
+    def __init__(self, conformed: DataFrame, base: DataFrame, make_dropped, make_invalid, held: DataFrame | None = None):
         self.conformed = conformed
         self.base = base
+        self.held = base if held is None else held  # the materialised frame
         self._make_dropped, self._make_invalid = make_dropped, make_invalid
         self._dropped = self._invalid = None
 
@@ -80,7 +80,7 @@ class ProcessResult:
         return summary_frame(self.base)
 
     def unpersist(self) -> None:
-        self.base.unpersist()
+        self.held.unpersist()
 
 
 def mapping_frame(spark, mappings) -> DataFrame | None:
@@ -93,14 +93,15 @@ def mapping_frame(spark, mappings) -> DataFrame | None:
 
 def _lookups(df: DataFrame, fields: list[FieldSpec], mappings: DataFrame | None,
              array_fields: set[str]) -> tuple[DataFrame, dict[str, cells.Lookup]]:
-    """Per-field lookups: literal maps for small mappings, broadcast joins for large."""
+    """Per-field lookups: literal maps for small mappings, joins for large."""
     out: dict[str, cells.Lookup] = {}
     if mappings is None:
         return df, out
     wanted = [f.name for f in fields if f.is_mappable]
     if not wanted:
         return df, out
-    m = mappings.where(F.col("field").isin(*wanted))
+    # a blank input loads as null; it matches no cell
+    m = mappings.where(F.col("field").isin(*wanted) & F.col("input").isNotNull())
     # usual case, one small job: every mapping row fits the literal-map budget
     head = m.select("field", "input", "output").limit(LITERAL_MAP_LIMIT + 1).collect()
     if len(head) <= LITERAL_MAP_LIMIT:
@@ -117,7 +118,7 @@ def _lookups(df: DataFrame, fields: list[FieldSpec], mappings: DataFrame | None,
         for f, p in pairs.items():
             out[f] = cells.MapLookup(p)
     by_name = {f.name: f for f in fields}
-    for name, n in counts.items():
+    for name in counts:
         if name in out:
             continue
         fs = by_name[name]
@@ -125,8 +126,6 @@ def _lookups(df: DataFrame, fields: list[FieldSpec], mappings: DataFrame | None,
         side = (m.where(F.col("field") == name)
                 .select(F.col("input").alias(f"__mi_{name}"), F.col("output").alias(res))
                 .dropDuplicates([f"__mi_{name}"]).withColumn(hit, F.lit(True)))
-        if n <= MAPPING_BROADCAST_LIMIT:
-            side = F.broadcast(side)
         key = cells.mapping_key(fs, F.col(name))
         df = df.join(side, key == side[f"__mi_{name}"], "left").drop(f"__mi_{name}")
         out[name] = cells.ColumnLookup(F.coalesce(F.col(hit), F.lit(False)), F.col(res))
@@ -161,10 +160,11 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
     that needs it; the stages stay in one whole-stage-codegen span.
     """
     keep = [F.col(c) for c in cols]
+    joined = [F.col(c) for c in df.columns if c.startswith(("__mh_", "__mo_"))]  # outputs of joined mappings, read by stage 2
     scalar = [f for f in fields if not f.allows_multiple and f.name not in array_fields]
     multi = [f for f in fields if f.allows_multiple and f.name in array_fields]
     # 1: float view of the text, for the fields that test numbers (per element for lists)
-    s1 = df.select(*keep,
+    s1 = df.select(*keep, *joined,
                    *[cells.as_double(F.col(f.name)).alias(f"__d_{f.name}") for f in scalar if cells.needs_number(f)],
                    *[cells.multi_parse(F.col(f.name), f).alias(f"__xa_{f.name}") for f in multi])
     # 2: transform phase (+ the complete cells that cannot be conformed)
@@ -285,7 +285,7 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
     def make_invalid() -> DataFrame:
         return invalid_values(parent, spec, fields, array_fields, cols)
 
-    return ProcessResult(conformed, parent, make_dropped, make_invalid)
+    return ProcessResult(conformed, parent, make_dropped, make_invalid, base)
 
 
 def invalid_values(parent: DataFrame, spec: TableSpec, fields: list[FieldSpec],

@@ -18,7 +18,7 @@ from trueform.operators.mapping import APPROVED
 DUPLICATE_TEXT = ("Dropped because the uploaded data has duplicate instances of this record. Duplicate "
                   "records have the same MileStoneFlag, CaseNumber, and MemberOrganization.")
 MISSING_INTAKE_TEXT = ("Dropped because the row does not have a corresponding 'Intake' record in the "
-                       "GII MIP database")
+                       "registry")
 
 
 def _py(c: Column) -> Column:
@@ -67,7 +67,11 @@ def failure_explanations(failures: DataFrame) -> DataFrame:
             .when(e == X.VALUES_IN_SET, F.concat(F.lit('Some values for "'), c, F.lit('" are invalid: '), v))
             .when(e == X.VALUES_UNIQUE, F.concat(F.lit('No duplicates allowed for "'), c,
                                                  F.lit('". This value had duplicates: '), v)))
-    return failures.select("dataset", "expectation", "column_name", "failed_value", text.alias("explanation"))
+    # a wrong header fails once for each column but is one line
+    header = e == X.COLUMNS_MATCH
+    once = failures.where(header).dropDuplicates(["dataset", "expectation"])
+    return failures.where(~header).unionByName(once).select(
+        "dataset", "expectation", "column_name", "failed_value", text.alias("explanation"))
 
 
 def unapproved_lines(mappings: DataFrame) -> DataFrame:
@@ -79,8 +83,7 @@ def unapproved_lines(mappings: DataFrame) -> DataFrame:
 
 def adjust_summary(summary: DataFrame, rejected: DataFrame) -> DataFrame:
     """H6: after a key rejection, rows to upload -n and rows dropped +n."""
-    n = F.lit(rejected.count())
-    return summary.select(
-        (F.col("rows_to_upload") - n).cast("bigint").alias("rows_to_upload"),
-        (F.col("rows_dropped") + n).cast("bigint").alias("rows_dropped"),
-        F.col("values_dropped"))
+    moved = rejected.agg(F.count(F.lit(1)).alias("n")).select(
+        (-F.col("n")).alias("rows_to_upload"), F.col("n").alias("rows_dropped"), F.lit(0).cast("bigint").alias("values_dropped"))
+    names = ("rows_to_upload", "rows_dropped", "values_dropped")
+    return summary.select(*names).unionByName(moved).agg(*[F.sum(c).cast("bigint").alias(c) for c in names])

@@ -133,9 +133,10 @@ def incremental_windows(members: DataFrame, watermarks: DataFrame, start_date: _
                         last_col: str = "last_success_date") -> DataFrame:
     """Per member, window from (last success + 1 day) to the run date.
 
-    A member without a watermark starts at ``start_date``.
+    A member without a watermark starts at ``start_date``; of repeated ones the latest counts.
     """
-    w = watermarks.select(F.col(member_col).alias("__m"), F.col(last_col).cast("date").alias("__last"))
+    w = (watermarks.groupBy(F.col(member_col).alias("__m"))
+         .agg(F.max(F.col(last_col).cast("date")).alias("__last")))
     j = members.join(w, members[member_col] == w["__m"], "left")
     first = F.coalesce(F.col("__last"), F.date_sub(F.lit(start_date), 1))
     return j.select(

@@ -114,65 +114,49 @@ class TableSpec:
         return T.StructType([T.StructField(f.name, f.spark_type, not f.required) for f in self.fields])
 
     # -- B2 / B3: column-format names --------------------------------------
+    def wide_columns(self) -> list[tuple[str, str, str]]:
+        """(milestone, wide column name, field) for every field asked at a milestone, by milestone and spec order."""
+        return [(milestone, dict(f.custom_names).get(i, milestone + f.name), f.name)
+                for i, milestone in enumerate(self.milestone_names or ())
+                for f in self.fields if f.milestones is not None and i in f.milestones]
+
     def column_format_fields(self) -> tuple[dict[str, dict[str, str]], list[str]]:
         """({milestone: {wide name: field}}, admin field names)."""
-        names = list(self.milestone_names or [])
-        by_milestone: dict[str, dict[str, str]] = {m: {} for m in names}
-        admin: list[str] = []
-        for f in self.fields:
-            if f.milestones is None:
-                admin.append(f.name)
-                continue
-            custom = dict(f.custom_names)
-            for idx in f.milestones:
-                m = names[idx]
-                by_milestone[m][custom.get(idx, m + f.name)] = f.name
-        return by_milestone, admin
+        wide = {m: {w: f for at, w, f in self.wide_columns() if at == m} for m in self.milestone_names or ()}
+        return wide, [f.name for f in self.fields if f.milestones is None]
 
     def valid_names(self, row_format: bool) -> list[str]:
         if row_format:
             return self.names
-        by_milestone, admin = self.column_format_fields()
-        out = list(admin)
-        for fields in by_milestone.values():
-            out.extend(fields.keys())
-        return out
+        return [f.name for f in self.fields if f.milestones is None] + [w for _, w, _ in self.wide_columns()]
 
     # -- B4-B9: spec checks ------------------------------------------------
+    def _outside(self, positions) -> list[int]:
+        known = range(len(self.milestone_names)) if self.milestone_names is not None else None
+        return [] if known is None else [p for p in positions if p not in known]
+
     def check(self) -> list[dict]:
-        """Return one record per problem; empty means the spec is usable."""
-        out: list[dict] = []
-        n = len(self.milestone_names) if self.milestone_names is not None else None
-        if self.milestone_names is None:
-            out.append({"field": None, "check": "milestone_names",
-                        "detail": "spec must include column-based milestone names"})
-        for f in self.fields:
-            if f.milestones is not None and n is not None:
-                for m in f.milestones:
-                    if not 0 <= m < n:
-                        out.append({"field": f.name, "check": "milestone_index",
-                                    "detail": f"milestone index {m} out of range"})
-            if n is not None:
-                for m, name in f.custom_names:
-                    if not 0 <= m < n:
-                        out.append({"field": f.name, "check": "custom_name_index",
-                                    "detail": f"milestone index {m} out of range for custom name '{name}'"})
-            if f.enum_mapping is not None:
-                if f.type != "integer":
-                    out.append({"field": f.name, "check": "label_map_type",
-                                "detail": "enums with numerical mappings should be of type integer"})
-                if f.minimum is None or f.maximum is None:
-                    out.append({"field": f.name, "check": "label_map_bounds",
-                                "detail": "enums with numerical mappings should have min/max constraints"})
-                    continue
-                codes = {c for _, c in f.enum_mapping}
-                need = set(range(int(f.minimum), int(f.maximum) + 1))
-                if codes != need:
-                    missing = sorted(need - codes)
-                    extra = sorted(codes - need)
-                    out.append({"field": f.name, "check": "label_map_cover",
-                                "detail": f"missing values: {missing}; outside range: {extra}"})
-        return out
+        """Return one record per problem; empty means the spec is usable.
+
+        Each rule is an independent query over the fields: (name, offenders, wording).
+        """
+        coded = [f for f in self.fields if f.enum_mapping is not None]
+        bounded = [f for f in coded if None not in (f.minimum, f.maximum)]
+        codes = {f.name: {c for _, c in f.enum_mapping} for f in bounded}
+        span = {f.name: set(range(int(f.minimum), int(f.maximum) + 1)) for f in bounded}
+        rules = (
+            ("milestone_names", [(None, "")] if self.milestone_names is None else [], "the spec names no milestones"),
+            ("milestone_index", [(f.name, p) for f in self.fields for p in self._outside(f.milestones or ())],
+             "no milestone has position {}"),
+            ("custom_name_index", [(f.name, f"{p} (column {w})") for f in self.fields for p, w in f.custom_names if self._outside([p])],
+             "a wide column is named for milestone position {}, which does not exist"),
+            ("label_map_type", [(f.name, f.type) for f in coded if f.type != "integer"], "coded labels need type integer, not {}"),
+            ("label_map_bounds", [(f.name, "") for f in coded if f not in bounded], "coded labels need a minimum and a maximum"),
+            ("label_map_cover", [(n, f"{sorted(span[n] - codes[n])}, codes beyond the bounds: {sorted(codes[n] - span[n])}")
+                                 for n in codes if codes[n] != span[n]], "codes without a label: {}"),
+        )
+        return [{"field": field, "check": name, "detail": wording.format(what)}
+                for name, offenders, wording in rules for field, what in offenders]
 
     def check_frame(self, spark: SparkSession) -> DataFrame:
         schema = "field string, check string, detail string"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark import StorageLevel
@@ -47,7 +48,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         path = tempfile.mkdtemp(prefix="trueform-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
@@ -86,6 +87,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     enough splits and is returned untouched, so no shuffle is added at scale.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    # asking for partitions runs the shuffles of a plan, so only plain scans are asked
+    scan = not re.search(r"\b(Join|Aggregate|Window|Sort|Generate|Repartition|RepartitionByExpression|Union|InMemoryRelation)\b",
+                         df._jdf.queryExecution().optimizedPlan().toString())
+    if not scan or df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)

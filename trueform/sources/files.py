@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +10,13 @@ from pyspark.sql import functions as F
 # Cell texts read as missing (the common spreadsheet/CSV tokens).
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
-    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null",
 )
 
 
-def _reader(spark: SparkSession, prefix: str | None = None):
-    r = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", True)
+def _reader(spark: SparkSession, prefix: str | None = None, multi_line: bool = False):
+    """``multi_line`` only where cells hold line breaks: such a file is one task."""
+    r = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", multi_line)
          .option("escape", '"').option("mode", "PERMISSIVE"))
     if prefix:
         r = r.option("pathGlobFilter", f"{prefix}*")
@@ -29,18 +29,28 @@ def na_to_null(df: DataFrame) -> DataFrame:
                        .otherwise(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
-def read_delimited(spark: SparkSession, path: str, prefix: str | None = None) -> DataFrame:
-    """A1 for one path (file, folder or glob); A2 when ``prefix`` is given."""
-    return na_to_null(_reader(spark, prefix).csv(path))
+def read_delimited(spark: SparkSession, path: str, prefix: str | None = None, multi_line: bool = False) -> DataFrame:
+    """A1 for one path (file, folder or glob) of one header; A2 when ``prefix`` is given."""
+    return na_to_null(_reader(spark, prefix, multi_line).csv(path))
 
 
-def read_datasets(spark: SparkSession, paths: str | Iterable[str], prefix: str | None = None) -> dict[str, DataFrame]:
-    """A1: each file is its own dataset (sites differ in headers), named by its base name."""
+def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = False) -> list[str]:
+    """Full paths of the files under ``path`` whose names match; names only, no content is read."""
+    found = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+             .option("recursiveFileLookup", recursive).load(path).select("path"))
+    return sorted(r["path"] for r in found.collect())
+
+
+def read_datasets(spark: SparkSession, paths: str | Iterable[str], prefix: str | None = None,
+                  multi_line: bool = False) -> dict[str, DataFrame]:
+    """A1: each path is its own dataset, named by its full path (sites differ in headers and
+    repeat base names); with ``prefix`` (A2) so is each selected file of a folder."""
     if isinstance(paths, str):
         paths = [paths]
     out = {}
     for p in paths:
-        out[os.path.basename(p.rstrip("/"))] = read_delimited(spark, p, prefix)
+        for f in [p.rstrip("/")] if prefix is None else list_files(spark, p, f"{prefix}*"):
+            out[f] = read_delimited(spark, f, multi_line=multi_line)
     return out
 
 

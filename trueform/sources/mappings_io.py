@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trueform.operators.expectations import COLUMN_MAPPING_COLUMNS, VALUE_MAPPING_COLUMNS
 from trueform.operators.mapping import APPROVED, NOT_APPROVED, VALID_APPROVED_VALUES
 from trueform.plans.spec import TableSpec
-from trueform.sources.files import _reader
+from trueform.sources.files import _reader, list_files
 
 _FIELD_FROM_PATH = r"(?:field=([^/]+)/[^/]*|([^/]+)\.csv)$"
 
@@ -16,9 +16,17 @@ _FIELD_FROM_PATH = r"(?:field=([^/]+)/[^/]*|([^/]+)\.csv)$"
 def load_value_mappings(spark: SparkSession, folder: str, spec: TableSpec | None = None) -> DataFrame:
     """A10: one read of every CSV under ``folder``; the field is the file name
     (``<field>.csv``) or the ``field=`` folder written by :func:`write_value_mappings`.
-    Files of unknown fields are ignored (semi join on the spec)."""
-    raw = (_reader(spark).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-           .csv(folder).select("*", F.col("_metadata.file_path").alias("__p")))
+    Files of unknown fields are ignored. Columns are taken by name, file by file; a file
+    whose header lacks one gives its rows as nulls (C9 checks headers first). The
+    number of files follows the spec's fields."""
+    raw = None
+    for path in list_files(spark, folder, "*.csv", recursive=True):
+        one = _reader(spark).csv(path)
+        part = one.select(*[F.col(f"`{c}`") if c in one.columns else F.lit(None).cast("string").alias(c)
+                            for c in VALUE_MAPPING_COLUMNS], F.col("_metadata.file_path").alias("__p"))
+        raw = part if raw is None else raw.unionByName(part)
+    if raw is None:
+        raw = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in (*VALUE_MAPPING_COLUMNS, "__p")))
     fld = F.coalesce(F.nullif(F.regexp_extract("__p", _FIELD_FROM_PATH, 1), F.lit("")),
                      F.regexp_extract("__p", _FIELD_FROM_PATH, 2))
     i, o, a = VALUE_MAPPING_COLUMNS
@@ -30,6 +38,11 @@ def load_value_mappings(spark: SparkSession, folder: str, spec: TableSpec | None
     return out
 
 
+def value_mapping_headers(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Header of each mapping file, by path."""
+    return {p: _reader(spark).csv(p).columns for p in list_files(spark, folder, "*.csv", recursive=True)}
+
+
 def write_value_mappings(mappings: DataFrame, folder: str) -> None:
     """Overwrite; null output -> '', null approval -> 'No'; one folder per field."""
     i, o, a = VALUE_MAPPING_COLUMNS

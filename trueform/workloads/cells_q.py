@@ -273,16 +273,15 @@ SELECT o_orderkey,
   CASE WHEN tv < 0 OR tv > 100 THEN 'qty must be within the range [0, 100]' END AS r_both,
   CASE WHEN tv < 0 THEN 'qty must be greater than or equal to 0' END AS r_min,
   CASE WHEN tv > 100 THEN 'qty must be less than or equal to 100' END AS r_max
-FROM t WHERE NOT blank AND tv IS NOT NULL""")
+FROM (SELECT o_orderkey, CASE WHEN NOT blank THEN tv END AS tv FROM t)""")
 def f14_range(spark, sf_dir):
     d = dirty_orders(spark, sf_dir)
     raw = F.col("num_raw")
-    v = cells.transform_int(raw)[0]
-    return (d.where(~cells.is_blank(raw) & v.isNotNull())
-            .select("o_orderkey",
+    v = F.when(~cells.is_blank(raw), cells.transform_int(raw)[0])
+    return d.select("o_orderkey",
                     cells.range_reason(v, QTY_BOTH).alias("r_both"),
                     cells.range_reason(v, QTY_MIN).alias("r_min"),
-                    cells.range_reason(v, QTY_MAX).alias("r_max")))
+                    cells.range_reason(v, QTY_MAX).alias("r_max"))
 
 
 # numbers --------------------------------------------------------------------------------

@@ -142,10 +142,6 @@ SELECT coalesce(n.field, s.field) AS field, coalesce(n.input, s.input) AS input,
 FROM n FULL OUTER JOIN s ON n.field = s.field AND n.input = s.input"""
 
 
-def _gen_body() -> str:
-    return GEN_SQL[len("WITH "):].replace("\nSELECT field, raw AS input", "\n SELECT field, raw AS input")
-
-
 def _resolve_sql(overwrite: bool) -> str:
     pick_new = "n.field IS NOT NULL" if overwrite else "s.field IS NULL"
     gen = f"WITH {BEST_CTE} SELECT field, raw AS input, CASE WHEN score > 50 THEN option END AS output, " \
