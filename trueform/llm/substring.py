@@ -50,7 +50,9 @@ def cut_lines(text: str, drop: set[tuple[int, int]], min_words: int) -> tuple[st
 
 
 def repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, d1, d2): lines of a document that also stand in one of lesser id."""
+    """(doc_id, d1, d2): lines of a document that also stand in one of lesser id, once for each row of it.
+
+    Nothing below the join needs a line's rows together, so AQE may split a common line."""
     id_type = documents.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType())])
 
@@ -66,7 +68,7 @@ def repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     lines = documents.filter("doc_id is not null").select("doc_id", "text").mapInArrow(digest, schema)
     first = saved(lines.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
                   .filter("first < last").select("d1", "d2", "first"), "repeated")
-    return lines.join(first, ["d1", "d2"]).filter("doc_id > first").select("doc_id", "d1", "d2").distinct()
+    return lines.join(first, ["d1", "d2"]).filter("doc_id > first").select("doc_id", "d1", "d2")
 
 
 def substring_dedup(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
