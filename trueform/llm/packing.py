@@ -11,6 +11,7 @@ import os
 import zlib
 from collections import ChainMap
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from trueform.llm.common import saved
 
 CAPACITY, END_ID = 4096, 2
 SHARD_PIECES = 2048  # pieces packed together: bounds the memory and time of a task
-CACHE_ENTRIES = 400_000  # words remembered by a Python worker
+CACHE_ENTRIES = 600_000  # words remembered by a Python worker
 MARK, MARK_ID = "<|startoftext|>", 49406  # the vocabulary's own mark, put between words that are encoded together
 
 
@@ -90,6 +91,12 @@ class WordEncoder:
             yield b"".join(map(get, words))
 
 
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """Kept by a Python worker from task to task."""
+    return WordEncoder(path)
+
+
 class TightestFit:
     """Open windows by remaining capacity: a segment tree over 0..capacity."""
 
@@ -162,7 +169,7 @@ def token_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPA
         fields.append(T.StructField("ids", T.ArrayType(T.LongType())))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, number = WordEncoder(tokenizer_path), TaskContext.get().partitionId() << 40
+        encoder, number = word_encoder(tokenizer_path), TaskContext.get().partitionId() << 40
         step = 4 * capacity
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
