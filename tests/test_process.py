@@ -95,3 +95,31 @@ def test_unpersist_frees_the_materialised_frame(spark):
     res.conformed.count()
     res.unpersist()
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_list_cells_join_a_long_mapping_as_the_literal_map_gives_it(spark):
+    """Nulls, blanks, repeats and unmapped elements of list cells; 300 entries join, 5 are a literal."""
+    from trueform.plans.spec import FieldSpec, TableSpec
+    spec = TableSpec(fields=(FieldSpec("c", enum=("A", "B"), allows_multiple=True),))
+    cells_in = [["g0", "g1"], ["g1", "g1"], ["g2", "nope"], ["b", None], [""], [], None, ["g3"], ["g0", "g1"]]
+    df = spark.createDataFrame(list(enumerate(cells_in)), "id int, c array<string>")
+    entries = [("c", f"g{i}", "" if i == 3 else "AB"[i % 2], "Yes") for i in range(300)] + [("c", None, "A", "Yes")]
+    maps = spark.createDataFrame(entries, "field string, input string, output string, approved string")
+    long, short = (process(df, spec, m, materialize=None) for m in (maps, maps.where("length(input) < 3 and input < 'g5'")))
+    got = {r["id"]: r["c"] for r in long.conformed.collect()}
+    assert got == {r["id"]: r["c"] for r in short.conformed.collect()}
+    assert got[0] == got[8] == ["A", "B"] and got[1] == ["B", "B"] and got[2] is None and got[3] == ["B"]
+    assert got[4] is None and got[5] is None and got[6] is None and got[7] is None
+    assert [r["original_value"] for r in long.invalid.collect()] == ["['g2', 'nope']"]
+
+
+def test_optional_cells_reported_for_survivors_and_counted(spark):
+    from trueform.plans.spec import FieldSpec, TableSpec
+    spec = TableSpec(fields=(FieldSpec("k", "integer", required=True), FieldSpec("n", "number")), primary_key=("k",))
+    df = spark.createDataFrame([("1", "x"), ("2", "y"), ("2", "z"), ("", "w"), (None, "v"), ("q", "u")], "k string, n string")
+    res = process(df, spec, materialize=None)
+    bad = {(r["field_name"], r["original_value"]) for r in res.invalid.collect()}
+    assert ("n", "x") in bad and ("k", "q") in bad and not {o for f, o in bad if f == "n"} - {"x"}
+    s = res.summary().collect()[0]
+    assert (s["rows_to_upload"], s["rows_dropped"], s["values_dropped"]) == (1, 5, 2)
+    assert process(df, spec, materialize=None, dedupe=False).conformed.count() == 3

@@ -21,10 +21,10 @@ def test_hot_key_keep_none_is_exact(spark):
     assert "partial_count" in plan  # the hot key is folded map-side before the shuffle
 
 
-def test_duplicate_keys_beyond_broadcast_limit_stay_exact(spark):
-    # more duplicate keys than the broadcast limit: no hint, Spark plans the join itself
+def test_many_duplicate_keys_stay_exact_without_a_hint(spark):
+    # Spark plans the join itself
     df = spark.range(2000).select((F.col("id") % 500).alias("k"), F.col("id").alias("v"))
-    kept, dropped = rows.keep_none_dedupe(df, ["k"], broadcast_limit=10)
+    kept, dropped = rows.keep_none_dedupe(df, ["k"])
     assert kept.count() == 0 and dropped.count() == 2000
     plan = dropped._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -154,6 +154,19 @@ class ColumnLookup(Lookup):
         return self._out
 
 
+class CellLookup(Lookup):
+    """Mapping entries of a multi-value cell's own elements, joined beside the row."""
+
+    def __init__(self, entries: Column):
+        self._entries = entries
+
+    def hit(self, key):
+        return F.coalesce(F.map_contains_key(self._entries, key), F.lit(False))
+
+    def out(self, key):
+        return F.try_element_at(self._entries, key)
+
+
 def sql_literal(v) -> str:
     """A Spark SQL literal for a string / int / None."""
     if v is None:

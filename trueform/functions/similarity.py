@@ -45,12 +45,19 @@ def lcs_length(a: Column, b: Column) -> Column:
     return F.when((F.length(a) == 0) | (lb == 0), F.lit(0)).otherwise(full)
 
 
-def ratio_score(a_key: Column, b_key: Column) -> Column:
-    """0-100 similarity of two already normalised keys (half-even rounding)."""
-    total = F.length(a_key) + F.length(b_key)
-    lcs = lcs_length(a_key, b_key)
-    raw = F.lit(100.0) * ((F.lit(2.0) * lcs) / total)
-    return F.when(total == 0, F.lit(0)).otherwise(F.bround(raw, 0).cast("int"))
+def ratio_score(a_key: Column, b_key: Column, floor: int | None = None) -> Column:
+    """0-100 similarity of two already normalised keys (half-even rounding).
+
+    With ``floor``, a pair whose lengths alone keep it at or below ``floor`` scores 0
+    and its programme is not run; scores above ``floor`` are exact.
+    """
+    la, lb = F.length(a_key), F.length(b_key)
+    total = la + lb
+    raw = F.lit(100.0) * ((F.lit(2.0) * lcs_length(a_key, b_key)) / total)
+    score = F.when(total == 0, F.lit(0))
+    if floor is not None:
+        score = score.when(F.bround(F.lit(100.0) * ((F.lit(2.0) * F.least(la, lb)) / total), 0) <= floor, F.lit(0))
+    return score.otherwise(F.bround(raw, 0).cast("int"))
 
 
 def token_sort_score(a: Column, b: Column) -> Column:

@@ -95,11 +95,12 @@ def _options_map(spec: TableSpec, names: list[str]) -> Column:
     return F.create_map(*kv)
 
 
-def best_options(cands: DataFrame, spec: TableSpec, method: str = "native") -> DataFrame:
+def best_options(cands: DataFrame, spec: TableSpec, method: str = "native", floor: int | None = None) -> DataFrame:
     """(field, raw, option, score) with the best-scoring option; first option on a tie.
 
     Options are a spec-sized literal per field, so scoring is a projection over
-    the candidates: no join and no shuffle.
+    the candidates: no join and no shuffle. Scores at or below ``floor`` may
+    read 0 (the native form then skips pairs that cannot pass it).
     """
     names = sorted({f.name for f in spec.fields if f.is_mappable})
     if not names:
@@ -115,7 +116,7 @@ def best_options(cands: DataFrame, spec: TableSpec, method: str = "native") -> D
         return (pairs.groupBy("field", "raw").agg(best.alias("b"))
                 .select("field", "raw", F.col("b.option").alias("option"), F.col("b.score").alias("score")))
     scored = F.transform(F.col("__opts"), lambda o: F.struct(
-        similarity.ratio_score(F.col("__key"), o["key"]).alias("score"),
+        similarity.ratio_score(F.col("__key"), o["key"], floor).alias("score"),
         (-o["pos"]).alias("neg_pos"),
         o["option"].alias("option")))
     top = F.array_max(scored)
@@ -147,8 +148,7 @@ def generate(df: DataFrame | None, spec: TableSpec, threshold: int = MATCH_THRES
     two outputs (E6) and no job is run to look."""
     if df is None:
         return None
-    out = suggest(best_options(candidates(df, spec), spec, method), threshold)
-    return out
+    return suggest(best_options(candidates(df, spec), spec, method, floor=threshold), threshold)
 
 
 # -- E8, E9: approval and resolution --------------------------------------------------------------

@@ -8,13 +8,14 @@ Order of effects, as in the target contract:
    copy (G3);
 4. optional fields are reported only for the surviving rows (G4).
 
-One wide ``select`` builds a value and a reason column per field; the result is
-materialised once because the conformed, dropped and invalid frames (and the
-duplicate-key count) all read it.
+Required and key fields are conformed first and materialised once, because the
+conformed, dropped and invalid frames and the duplicate keys all read them.
+Optional fields are conformed for the surviving rows only and are not held.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -26,8 +27,8 @@ from trueform.operators import rows
 from trueform.plans.spec import FieldSpec, TableSpec
 from trueform.session import materialize as _materialize, spread
 
-#: mappings up to this many entries become literal maps; beyond it single-value fields join
-#: the mapping (AQE picks the join), with the same result
+#: mappings up to this many entries become literal maps; beyond it fields join the mapping
+#: (AQE picks the join; multi-value cells element by element), with the same result
 LITERAL_MAP_LIMIT = 256
 
 MAPPING_SCHEMA = "field string, input string, output string, approved string"
@@ -56,11 +57,10 @@ class ProcessResult:
     needs the conformed rows does not pay for planning them.
     """
 
-    def __init__(self, conformed: DataFrame, base: DataFrame, make_dropped, make_invalid, held: DataFrame | None = None):
+    def __init__(self, conformed: DataFrame, held: DataFrame, make_dropped, make_invalid, make_summary):
         self.conformed = conformed
-        self.base = base
-        self.held = base if held is None else held  # the materialised frame
-        self._make_dropped, self._make_invalid = make_dropped, make_invalid
+        self.held = held  # the materialised frame
+        self._make_dropped, self._make_invalid, self._make_summary = make_dropped, make_invalid, make_summary
         self._dropped = self._invalid = None
 
     @property
@@ -76,8 +76,8 @@ class ProcessResult:
         return self._invalid
 
     def summary(self) -> DataFrame:
-        """H1 in one aggregation: rows to upload, rows dropped, values dropped."""
-        return summary_frame(self.base)
+        """H1: rows to upload, rows dropped, values dropped."""
+        return self._make_summary()
 
     def unpersist(self) -> None:
         self.held.unpersist()
@@ -110,7 +110,7 @@ def _lookups(df: DataFrame, fields: list[FieldSpec], mappings: DataFrame | None,
             pairs0.setdefault(r["field"], {})[r["input"]] = r["output"]
         return df, {f: cells.MapLookup(p) for f, p in pairs0.items()}
     counts = {r["field"]: r["n"] for r in m.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = [f for f, n in counts.items() if n <= LITERAL_MAP_LIMIT or f in array_fields]
+    small = [f for f, n in counts.items() if n <= LITERAL_MAP_LIMIT]
     if small:
         pairs: dict[str, dict[str, str | None]] = {}
         for r in m.where(F.col("field").isin(*small)).select("field", "input", "output").collect():
@@ -122,12 +122,21 @@ def _lookups(df: DataFrame, fields: list[FieldSpec], mappings: DataFrame | None,
         if name in out:
             continue
         fs = by_name[name]
-        hit, res = f"__mh_{name}", f"__mo_{name}"
+        hit, res, inp, cell = f"__mh_{name}", f"__mo_{name}", f"__mi_{name}", f"__mc_{name}"
         side = (m.where(F.col("field") == name)
-                .select(F.col("input").alias(f"__mi_{name}"), F.col("output").alias(res))
-                .dropDuplicates([f"__mi_{name}"]).withColumn(hit, F.lit(True)))
-        key = cells.mapping_key(fs, F.col(name))
-        df = df.join(side, key == side[f"__mi_{name}"], "left").drop(f"__mi_{name}")
+                .select(F.col("input").alias(inp), F.col("output").alias(res)).dropDuplicates([inp]))
+        if name in array_fields:
+            # distinct cells, element by element against the mapping, regrouped by cell
+            keys = F.array_distinct(F.transform(F.col(cell), lambda x: cells.mapping_key(fs, x)))
+            elements = (df.where(F.col(name).isNotNull()).select(F.col(name).alias(cell)).distinct()
+                        .select(cell, F.explode(keys).alias("__key")))
+            found = (elements.join(side, F.col("__key") == F.col(inp)).groupBy(cell)
+                     .agg(F.map_from_entries(F.collect_list(F.struct(inp, res))).alias(res)))
+            df = df.join(found, df[name] == found[cell], "left").drop(cell)
+            out[name] = cells.CellLookup(F.col(res))
+            continue
+        side = side.withColumn(hit, F.lit(True))
+        df = df.join(side, cells.mapping_key(fs, F.col(name)) == side[inp], "left").drop(inp)
         out[name] = cells.ColumnLookup(F.coalesce(F.col(hit), F.lit(False)), F.col(res))
     return df, out
 
@@ -222,9 +231,11 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
 
 
 def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None = None, *,
-            materialize: str | None = "persist",
-            broadcast_limit: int = rows.BROADCAST_KEYS_LIMIT) -> ProcessResult:
-    """Conform ``df`` to ``spec``; returns conformed, dropped and invalid frames."""
+            materialize: str | None = "persist", dedupe: bool = True) -> ProcessResult:
+    """Conform ``df`` to ``spec``; returns conformed, dropped and invalid frames.
+
+    ``dedupe=False`` leaves repeated keys in (a stream settles them over its sink).
+    """
     spark = df.sparkSession
     mappings = mapping_frame(spark, mappings)
     df = spread(df)
@@ -236,27 +247,30 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
     cols = list(df.columns)
     fields = [f for f in spec.fields if f.name in cols]
     array_fields = {f.name for f in fields if isinstance(df.schema[f.name].dataType, T.ArrayType)}
-    df, lookups = _lookups(df, fields, mappings, array_fields)
+    keys = [k for k in spec.primary_key if k in cols]
+    first = [f for f in fields if f.required or f.name in keys]
+    later = [f for f in fields if not f.required and f.name not in keys]
 
-    staged = conform_columns(df, cols, fields, array_fields, lookups)
-    values = {f.name: F.col(_v(f.name)) for f in fields}
-    missing = rows.missing_required(values, required)
-    staged = staged.withColumn("__missing", missing)
-    base = _materialize(staged, materialize)
+    # required and key fields of every row
+    df, lookups = _lookups(df, first, mappings, array_fields)
+    staged = conform_columns(df, cols, first, array_fields, lookups)
+    missing = rows.missing_required({f.name: F.col(_v(f.name)) for f in first}, required)
+    base = _materialize(staged.withColumn("__missing", missing), materialize)
 
     ok = F.size(F.col("__missing")) == 0
-    keys = [k for k in spec.primary_key if k in cols]
-    key_cols = [_v(k) if spec.has(k) else k for k in keys]
-    if key_cols:
-        flagged = rows.flag_duplicates(base, key_cols, broadcast_limit=broadcast_limit, eligible=ok)
+    if keys and dedupe:
+        flagged = rows.flag_duplicates(base, [_v(k) if spec.has(k) else k for k in keys], eligible=ok)
     else:
         flagged = base.withColumn("__dup", F.lit(False))
     status = F.when(~ok, F.lit("missing")).when(F.col("__dup"), F.lit("duplicate")).otherwise(F.lit("kept"))
     parent = flagged.withColumn("__status", status)
-    kept_now = F.col("__status") == "kept"
-    masked = [F.col(_r(f.name)) if f.required else F.when(kept_now, F.col(_r(f.name))) for f in fields]
-    n_bad = F.size(F.filter(F.array(*masked), lambda x: x.isNotNull())) if masked else F.lit(0)
-    parent = parent.withColumn("__n_invalid", n_bad)
+
+    # optional fields of the survivors
+    full = parent.where(F.col("__status") == "kept")
+    if later:
+        full, lookups = _lookups(full, later, mappings, array_fields)
+        done = [*cols, *[name(f.name) for f in first for name in (_v, _r)], "__status"]
+        full = conform_columns(full, done, later, array_fields, lookups)
 
     # conformed: input column order, spec columns replaced by their values
     out_cols = []
@@ -265,7 +279,7 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
             out_cols.append(F.col(_v(c)).alias(c))
         elif not c.startswith("__"):
             out_cols.append(F.col(c))
-    conformed = parent.where(F.col("__status") == "kept").select(*out_cols)
+    conformed = full.select(*out_cols)
 
     def make_dropped() -> DataFrame:
         # pre-transform rows; duplicates carry conformed required fields
@@ -283,9 +297,13 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
         )
 
     def make_invalid() -> DataFrame:
-        return invalid_values(parent, spec, fields, array_fields, cols)
+        early = invalid_values(parent, spec, first, array_fields, cols)
+        return early.unionByName(invalid_values(full, spec, later, array_fields, cols)) if later else early
+
+    def make_summary() -> DataFrame:
+        return summary_frame([_counts(parent, first), _counts(full, later, values_only=True)])
 
-    return ProcessResult(conformed, parent, make_dropped, make_invalid, base)
+    return ProcessResult(conformed, base, make_dropped, make_invalid, make_summary)
 
 
 def invalid_values(parent: DataFrame, spec: TableSpec, fields: list[FieldSpec],
@@ -310,10 +328,17 @@ def invalid_values(parent: DataFrame, spec: TableSpec, fields: list[FieldSpec],
     return parent.select(F.explode(arr).alias("r")).select("r.*")
 
 
-def summary_frame(parent: DataFrame) -> DataFrame:
-    """H1: rows to upload, rows dropped, values dropped, in one pass."""
-    return parent.agg(
-        F.count_if(F.col("__status") == "kept").cast("bigint").alias("rows_to_upload"),
-        F.count_if(F.col("__status") != "kept").cast("bigint").alias("rows_dropped"),
-        F.coalesce(F.sum("__n_invalid"), F.lit(0)).cast("bigint").alias("values_dropped"),
-    )
+def _counts(frame: DataFrame, fields: list[FieldSpec], values_only: bool = False) -> DataFrame:
+    """One row: rows kept, rows dropped (0 if ``values_only``) and invalid cells of ``fields``."""
+    kept = F.col("__status") == "kept"
+    reasons = [F.col(_r(f.name)) if f.required else F.when(kept, F.col(_r(f.name))) for f in fields]
+    bad = F.size(F.filter(F.array(*reasons), lambda x: x.isNotNull())) if reasons else F.lit(0)
+    up, down = (F.lit(0), F.lit(0)) if values_only else (F.count_if(kept), F.count_if(~kept))
+    return frame.agg(up.cast("bigint").alias("rows_to_upload"), down.cast("bigint").alias("rows_dropped"),
+                     F.coalesce(F.sum(bad), F.lit(0)).cast("bigint").alias("values_dropped"))
+
+
+def summary_frame(parts: list[DataFrame]) -> DataFrame:
+    """H1: rows to upload, rows dropped, values dropped, summed over one-row counts."""
+    names = ["rows_to_upload", "rows_dropped", "values_dropped"]
+    return reduce(DataFrame.unionByName, parts).agg(*[F.sum(n).cast("bigint").alias(n) for n in names])

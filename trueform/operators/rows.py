@@ -14,9 +14,6 @@ from trueform.functions.dates import day_bounds
 INTAKE_MESSAGE = "No 'Intake' records found"
 CASE_KEY_PATTERN = r"Case:\s+(.*?)\s+Member:"
 
-#: largest key set shipped to every executor as a broadcast side (rows)
-BROADCAST_KEYS_LIMIT = 2_000_000
-
 
 def _null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     cond = None
@@ -38,32 +35,28 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], flag: str = "__dup",
-                    broadcast_limit: int = BROADCAST_KEYS_LIMIT,
                     eligible: Column | None = None) -> DataFrame:
     """G3 core: add boolean ``flag`` = the row's key occurs more than once.
 
-    ``eligible`` restricts which rows count (and can be flagged). The duplicate
-    key set is counted first: it is broadcast when within ``broadcast_limit``,
-    otherwise joined by a shuffle (AQE splits skewed partitions).
+    ``eligible`` restricts which rows count (and can be flagged); the others,
+    often null in the key, go round the join. The join carries no hint: AQE
+    broadcasts a small duplicate-key set by its bytes, else splits hot keys.
     """
-    src = df if eligible is None else df.where(eligible)
+    src = df if eligible is None else df.where(F.coalesce(eligible, F.lit(False)))
     renamed = [f"__dk{i}" for i in range(len(keys))]
     dups = duplicate_keys(src, keys)
     dups = dups.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).withColumn(flag, F.lit(True))
-    n = dups.count()
-    side = F.broadcast(dups) if n <= broadcast_limit else dups
-    joined = df.join(side, _null_safe_on(df, side, list(zip(keys, renamed))), "left")
-    out = joined.drop(*renamed)
-    hit = F.coalesce(F.col(flag), F.lit(False))
-    if eligible is not None:
-        hit = hit & eligible
-    return out.withColumn(flag, hit)
-
-
-def keep_none_dedupe(df: DataFrame, keys: Sequence[str],
-                     broadcast_limit: int = BROADCAST_KEYS_LIMIT) -> tuple[DataFrame, DataFrame]:
+    out = src.join(dups, _null_safe_on(src, dups, list(zip(keys, renamed))), "left").drop(*renamed)
+    out = out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    if eligible is None:
+        return out
+    rest = df.where(~F.coalesce(eligible, F.lit(False))).withColumn(flag, F.lit(False))
+    return out.unionByName(rest)
+
+
+def keep_none_dedupe(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Drop every copy of a duplicated key; returns (kept, dropped)."""
-    flagged = flag_duplicates(df, keys, broadcast_limit=broadcast_limit)
+    flagged = flag_duplicates(df, keys)
     kept = flagged.where(~F.col("__dup")).drop("__dup")
     dropped = flagged.where(F.col("__dup")).drop("__dup").withColumn("drop_kind", F.lit("duplicate"))
     return kept, dropped
@@ -87,12 +80,12 @@ def extract_keys(responses: DataFrame, text_col: str = "text", key_col: str = "C
             .distinct())
 
 
-def reject_by_keys(df: DataFrame, keys: DataFrame, key_col: str = "CaseNumber",
-                   broadcast_limit: int = BROADCAST_KEYS_LIMIT) -> tuple[DataFrame, DataFrame]:
-    """kept = key not listed, dropped = key listed (every milestone of the case)."""
-    k = keys.select(F.col(key_col).alias("__rk")).distinct()
-    n = k.count()
-    side = F.broadcast(k) if n <= broadcast_limit else k
+def reject_by_keys(df: DataFrame, keys: DataFrame, key_col: str = "CaseNumber") -> tuple[DataFrame, DataFrame]:
+    """kept = key not listed, dropped = key listed (every milestone of the case).
+
+    Both frames read ``keys``; a caller that runs both materialises it first.
+    """
+    side = keys.select(F.col(key_col).alias("__rk")).distinct()
     cond = df[key_col] == side["__rk"]
     kept = df.join(side, cond, "left_anti")
     dropped = df.join(side, cond, "left_semi").withColumn("drop_kind", F.lit("missing_intake_record"))
@@ -144,3 +137,22 @@ def incremental_windows(members: DataFrame, watermarks: DataFrame, start_date: _
         F.date_add(first, 1).alias("window_start"),
         F.lit(run_date).alias("window_end"),
     )
+
+
+def run_window_scan(df: DataFrame, windows: DataFrame, ts_col: str, member_col: str, *,
+                    earliest: _dt.date | None = None, latest: _dt.date | None = None,
+                    window_member: str = "member_id") -> DataFrame:
+    """Rows of ``df`` inside their member's run window (G9), day bounds included.
+
+    ``earliest`` / ``latest`` bound every window; given, they reach the scan as
+    literals. A member without a window has no rows.
+    """
+    ts = F.col(ts_col).cast("timestamp_ntz")
+    if earliest is not None:
+        df = df.where(ts >= F.lit(day_bounds(earliest, earliest)[0]).cast("timestamp_ntz"))
+    if latest is not None:
+        df = df.where(ts <= F.lit(day_bounds(latest, latest)[1]).cast("timestamp_ntz"))
+    w = windows.select(F.col(window_member).alias("__wm"), F.col("window_start").cast("timestamp_ntz").alias("__lo"),
+                       (F.col("window_end").cast("timestamp_ntz") + F.expr("INTERVAL 86399 SECONDS")).alias("__hi"))
+    j = df.join(w, df[member_col] == w["__wm"])
+    return j.where(ts.between(F.col("__lo"), F.col("__hi"))).drop("__wm", "__lo", "__hi")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trueform.functions import cells
 from trueform.operators.shape import join_values, split_values
-from trueform.plans.spec import FieldSpec
+from trueform.plans.spec import FieldSpec, TableSpec
 from trueform.workloads.conform_q import NUM_RE, _split_select
 from trueform.session import spread
 from trueform.workloads.registry import register, table
@@ -374,3 +374,42 @@ def f20_dispatch(spark, sf_dir):
     recs = F.array(*[F.struct(F.lit(f.name).alias("field"), F.col(f"__v_{f.name}").cast("string").alias("value"),
                               F.col(f"__r_{f.name}").alias("reason")) for f in DISPATCH_FIELDS])
     return out.select("o_orderkey", F.explode(recs).alias("r")).select("o_orderkey", "r.*")
+
+
+# F6, F18 with a mapping of one entry per customer: joined, not held as a literal ------------------
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+# some customers are unmapped, some map to blank, in the mapping and its oracle alike
+CUSTOMER_MAP_SQL = """SELECT concat('Customer#', CAST(c_custkey AS STRING)) AS input,
+  CASE WHEN c_custkey % 14 = 0 THEN '' ELSE c_mktsegment END AS output FROM customer WHERE c_custkey % 11 <> 0"""
+
+
+def customer_mapping(spark: SparkSession, sf_dir: str, field: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").where("c_custkey % 11 <> 0")
+    return c.selectExpr(f"'{field}' AS field", "concat('Customer#', CAST(c_custkey AS STRING)) AS input",
+                        "CASE WHEN c_custkey % 14 = 0 THEN '' ELSE c_mktsegment END AS output", "'Yes' AS approved")
+
+
+@register("f6_mapped_large", f"""WITH m AS ({CUSTOMER_MAP_SQL})
+SELECT o_orderkey, nullif(output, '') AS segment
+FROM orders LEFT JOIN m ON input = concat('Customer#', CAST(o_custkey AS STRING))""")
+def f6_mapped_large(spark, sf_dir):
+    """F6 through the process job: a mapping as long as the customer table."""
+    from trueform.operators.process import process
+    d = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "concat('Customer#', CAST(o_custkey AS STRING)) AS segment")
+    spec = TableSpec(fields=(FieldSpec("segment", enum=SEGMENTS),))
+    return process(d, spec, customer_mapping(spark, sf_dir, "segment"), materialize=None).conformed
+
+
+@register("f18_mapped_large", f"""WITH m AS ({CUSTOMER_MAP_SQL})
+SELECT o_orderkey, CASE WHEN a.input IS NOT NULL AND b.input IS NOT NULL
+  THEN nullif(concat_ws(',', nullif(a.output, ''), nullif(b.output, '')), '') END AS segments
+FROM orders LEFT JOIN m a ON a.input = concat('Customer#', CAST(o_custkey AS STRING))
+LEFT JOIN m b ON b.input = concat('Customer#', CAST(o_custkey + 1 AS STRING))""")
+def f18_mapped_large(spark, sf_dir):
+    """F18 through the process job: lists of two customers, each element mapped by the join."""
+    from trueform.operators.process import process
+    d = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "array(concat('Customer#', CAST(o_custkey AS STRING)), concat('Customer#', CAST(o_custkey + 1 AS STRING))) AS segments")
+    spec = TableSpec(fields=(FieldSpec("segments", enum=SEGMENTS, allows_multiple=True),))
+    out = process(d, spec, customer_mapping(spark, sf_dir, "segments"), materialize=None).conformed
+    return out.select("o_orderkey", join_values(F.col("segments")).alias("segments"))

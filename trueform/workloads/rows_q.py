@@ -127,8 +127,6 @@ WHERE e.ts BETWEEN CAST(w.window_start AS TIMESTAMP)
 def a8_run_window(spark, sf_dir):
     """Each member's rows inside its own run window (day bounds, inclusive)."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
-    w = windows(spark, sf_dir)
-    lo = F.col("window_start").cast("timestamp_ntz")
-    hi = F.col("window_end").cast("timestamp_ntz") + F.expr("INTERVAL 86399 SECONDS")
-    j = e.join(w, e["user_id"] == w["member_id"])  # windows: one row per member
-    return j.where(F.col("ts").between(lo, hi)).select("event_id", "user_id", "event_type")
+    found = rows.run_window_scan(e, windows(spark, sf_dir), "ts", "user_id",
+                                 earliest=dt.date(2024, 1, 1), latest=dt.date(2024, 1, 30))
+    return found.select("event_id", "user_id", "event_type")
