@@ -36,8 +36,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining documents, placed in sequences of 4096 tokens."""
-    return packing.pack_documents(docs, vocabulary_file("word_bpe_49k.json"))
+    """Pieces of the remaining documents in sequences of 4096 tokens; the first piece of a sequence carries its padded token ids."""
+    return packing.placed_pieces(packing.pack_documents(docs, vocabulary_file("word_bpe_49k.json")), with_sequence=True)
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("repeated_lines", repeated_lines),

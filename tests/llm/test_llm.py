@@ -120,6 +120,35 @@ def test_sequences_pad_unless_a_power_of_two(spark):
     assert got[0] == [5] * 8 and got[1] == [5] * 3 + [6] * 2 + [0] * 11
 
 
+def test_packed_documents_hold_their_token_ids(spark):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    rows = corpus()
+    made = packing.pack_documents(frame(spark, rows), P.path("word_bpe_49k.json"), 64, pad_id=7, shard_pieces=16)
+    sequences = made.collect()
+    found = []
+    for s in sequences:
+        ids = np.frombuffer(s.ids, "<u4").tolist()
+        assert s.n_tokens == sum(p.length for p in s.pieces) <= 64
+        assert len(ids) == (s.n_tokens if s.n_tokens & (s.n_tokens - 1) == 0 else 64) and set(ids[s.n_tokens:]) <= {7}
+        assert [p.offset for p in s.pieces] == [sum(q.length for q in s.pieces[:k]) for k in range(len(s.pieces))]
+        found += [(p.doc_id or 0, p.start, p.doc_tokens, tuple(ids[p.offset:p.offset + p.length])) for p in s.pieces]
+    assert any(len(s.ids) > 4 * s.n_tokens for s in sequences) and len({s.sequence_id for s in sequences}) == len(sequences)
+    want = []
+    for i, t in rows:
+        ids = model.encode(t or "", add_special_tokens=False).ids + [2]
+        want += [(i or 0, a, len(ids), tuple(ids[a:a + 64])) for a in range(0, len(ids), 64)]
+    assert sorted(found) == sorted(want)
+    pieces = packing.placed_pieces(made, with_sequence=True).collect()
+    assert sorted((r.doc_id or 0, r.start, r.doc_tokens, r.ids_crc32) for r in pieces) == sorted((i, a, n, zlib.crc32(np.array(x, "<u4").tobytes())) for i, a, n, x in want)
+    assert {r.sequence_id: r.sequence for r in pieces if r.offset == 0} == {s.sequence_id: s.ids for s in sequences}
+    assert all((r.sequence is None) == (r.offset > 0) for r in pieces)
+    none = packing.pack_documents(frame(spark, []), P.path("word_bpe_49k.json"))
+    assert none.count() == 0 and packing.placed_pieces(none).count() == 0
+
+
 @pytest.mark.parametrize("short", [False, True])
 def test_decontamination(spark, short):
     rows = corpus()

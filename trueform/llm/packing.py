@@ -153,20 +153,29 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return where, offsets
 
 
+def id_planes(ids: bytes) -> bytes:
+    """The lowest bytes of all ids, then the next ones: rows of it compress well on their way through a shuffle."""
+    return np.frombuffer(ids, np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def ids_of_planes(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def token_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
                  with_ids: bool = False) -> DataFrame:
     """Pieces of every document: full windows, then the rest. One row a piece.
 
     Columns: doc_id, start, length, ids_crc32, doc_tokens, row_key (of the
-    document's row), and ids if asked for. Null text is the end id alone, null
-    or repeated doc_id is carried as it is: each row is a document. Other
-    columns are ignored.
+    document's row), and planes if ids are asked for (see ``id_planes``). Null
+    text is the end id alone, null or repeated doc_id is carried as it is: each
+    row is a document. Other columns are ignored.
     """
     end = np.array([end_id], dtype="<u4").tobytes()
     fields = [T.StructField("doc_id", documents.schema["doc_id"].dataType)] + [
         T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens", "row_key")]
     if with_ids:
-        fields.append(T.StructField("ids", T.ArrayType(T.LongType())))
+        fields.append(T.StructField("planes", T.BinaryType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, number = word_encoder(tokenizer_path), TaskContext.get().partitionId() << 40
@@ -186,10 +195,10 @@ def token_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPA
                         totals.append(len(data) // 4)
                         keys.append(number)
                         if with_ids:
-                            ids.append(np.frombuffer(piece, "<u4").astype(np.int64))
+                            ids.append(id_planes(piece))
                     number += 1
                 out = [batch.column("doc_id").take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals, keys))]
-                yield pa.RecordBatch.from_arrays(out + ([pa.array(ids, pa.list_(pa.int64()))] if with_ids else []), names=[f.name for f in fields])
+                yield pa.RecordBatch.from_arrays(out + ([pa.array(ids, pa.binary())] if with_ids else []), names=[f.name for f in fields])
 
     return documents.select("doc_id", "text").mapInArrow(cut, T.StructType(fields))
 
@@ -228,6 +237,62 @@ def sequences(packed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0) -> D
                          n.alias("n_tokens"))
 
 
-def pack_documents(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    pieces = saved(token_pieces(documents, tokenizer_path, capacity, end_id), "pieces")
-    return pack(pieces, capacity).drop("row_key")
+def pack_sequences(pieces: DataFrame, shards: int, capacity: int = CAPACITY, pad_id: int = 0) -> DataFrame:
+    """Sequences of pieces with planes: sequence_id, ids, n_tokens, pieces (what stands where).
+
+    ids are the padded token ids as little-endian uint32 bytes (``np.frombuffer(ids, "<u4")``).
+
+    Pieces are placed as by ``pack`` and padded as by ``sequences``, in the shard.
+    """
+    doc_id = pieces.schema["doc_id"].dataType
+    part = T.StructType([T.StructField("doc_id", doc_id)] + [T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens", "offset")])
+    schema = T.StructType([T.StructField("sequence_id", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()),
+                           T.StructField("pieces", T.ArrayType(part))])
+
+    def build(key: tuple, shard: pa.Table) -> pa.Table:
+        shard = shard.sort_by([("length", "descending"), ("row_key", "ascending"), ("start", "ascending")]).combine_chunks()
+        where, offsets = best_fit(shard.column("length").to_numpy(), capacity)
+        order = np.lexsort((offsets, where))
+        shard, where, offsets = shard.take(pa.array(order)).combine_chunks(), where[order], offsets[order]
+        lengths = shard.column("length").to_numpy()
+        firsts = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
+        tokens = np.add.reduceat(lengths, firsts)
+        ends = np.concatenate([[0], np.cumsum(np.where(tokens & (tokens - 1) == 0, tokens, capacity))])
+        ids = np.full(ends[-1], pad_id, "<u4")
+        for planes, at, n in zip(shard.column("planes"), (ends[where] + offsets).tolist(), lengths.tolist()):
+            ids[at:at + n] = ids_of_planes(planes.as_py())
+        parts = [shard.column(n).combine_chunks() for n in ("doc_id", "start", "length", "doc_tokens")] + [pa.array(offsets)]
+        parts = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in parts]
+        return pa.table({
+            "sequence_id": pa.array(np.arange(len(firsts)) + (key[0].as_py() << 32)),
+            "ids": pa.Array.from_buffers(pa.binary(), len(firsts), [None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(ids)]),
+            "n_tokens": pa.array(tokens), "pieces": pa.ListArray.from_arrays(
+                pa.array(np.append(firsts, len(where)).astype(np.int32)), pa.StructArray.from_arrays(parts, names=part.names))})
+
+    dealt = pieces.select("doc_id", "start", "length", "doc_tokens", "row_key", "planes",
+                          F.pmod(F.xxhash64("row_key", "start"), F.lit(shards)).alias("__shard"))
+    return dealt.groupBy("__shard").applyInArrow(build, schema)
+
+
+def placed_pieces(sequences: DataFrame, with_sequence: bool = False) -> DataFrame:
+    """One row a piece, read off its sequence: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    With ``with_sequence`` the piece at offset 0 also carries the ids of its whole
+    padded sequence, the others null: ``offset = 0`` selects every sequence once.
+    """
+    rows = sequences.select("sequence_id", "ids", F.explode("pieces").alias("p"))
+    own = F.substring("ids", (4 * F.col("p.offset") + 1).cast("int"), (4 * F.col("p.length")).cast("int"))
+    return rows.select("p.doc_id", "p.start", "p.length", F.crc32(own).alias("ids_crc32"), "p.doc_tokens", "sequence_id", "p.offset",
+                       *([F.when(F.col("p.offset") == 0, F.col("ids")).alias("sequence")] if with_sequence else []))
+
+
+def pack_documents(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, pad_id: int = 0,
+                   shard_pieces: int = SHARD_PIECES) -> DataFrame:
+    """The saved table of packed and padded sequences of all documents, see ``pack_sequences``.
+
+    Shards are sized by an estimate of the pieces from the texts' bytes (three a token), so
+    that token ids are shuffled once and never stored before they are packed.
+    """
+    guess = documents.select(F.sum(F.floor(F.coalesce(F.octet_length("text"), F.lit(0)) / (3 * capacity)) + 1)).first()[0] or 0
+    shards = max(1, -(-int(guess) // shard_pieces))
+    return saved(pack_sequences(token_pieces(documents, tokenizer_path, capacity, end_id, with_ids=True), shards, capacity, pad_id), "sequences")

@@ -36,7 +36,7 @@ def query(sql: str | None = None):
 
 @query()
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json"))
+    return packing.placed_pieces(packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json")))
 
 
 OP2_SQL = r"""
