@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trueform.llm import decontaminate, langid, minhash, packing, substring
@@ -12,9 +14,21 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a determinable language (no text, no letter)."""
+    """Drops documents without a determinable language: no letter, or ambiguous (random letters, mixed languages).
+
+    The ambiguity flag is checked on labelled documents the model never saw. If
+    it would drop more than ``langid.CLEAN_LOSS`` of them, or there are none, the
+    languages as labelled cannot be told apart and only ``und`` is dropped, with a
+    warning.
+    """
     model = langid.train(docs.filter(~langid.held_out()))
-    return langid.identify(docs, model).filter(F.col("lang_pred") != langid.UNDETERMINED).select(*COLUMNS)
+    found = langid.identify(docs, model).filter(F.col("lang_pred") != langid.UNDETERMINED)
+    flagged, known = langid.flagged_held_out(docs, model)
+    if known and flagged <= langid.CLEAN_LOSS * known:
+        found = found.filter(~F.col("lang_ambiguous"))
+    else:
+        warnings.warn(f"language: {flagged} of {known} held-out documents are ambiguous; ambiguous documents stay")
+    return found.select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ pytest.importorskip("corpus_pipeline")
 
 import corpus_pipeline  # noqa: E402
 from test_llm import prose  # noqa: E402
+from trueform.llm import langid  # noqa: E402
 
 
 def test_pipeline_against_plain_python(spark, tmp_path):
@@ -54,3 +55,25 @@ def test_pipeline_against_plain_python(spark, tmp_path):
     want = {i: len(model.encode(t, add_special_tokens=False).ids) + 1 for i, t in clean.items()}
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id: r.doc_tokens for r in got} == want and sum(r.length for r in got) == sum(want.values())
+
+
+def test_language_stage_drops_ambiguous_and_random_text(spark):
+    rng = random.Random(9)
+    make = {"aa": "bdgaeo", "bb": "ptkiuy", "cc": "mnlvrh", "dd": "szxwjq"}
+    words = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(n))
+    rows = [(i, words(make[k], rng.randint(20, 40)), k) for i, k in enumerate(list(make) * 150)]
+    junk = [(1000 + i, words("abcdefghijklmnopqrstuvwxyz", 40), None) for i in range(40)]
+    junk += [(2000 + i, words(make["aa"], 15) + " " + words(make["bb"], 15), None) for i in range(10)] + [(3000, "12 34", None)]
+    docs = spark.createDataFrame([(i, t, k, "s", len(t)) for i, t, k in rows + junk], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()}
+    held = [r.doc_id for r in docs.filter(langid.held_out()).collect() if r.doc_id < 1000]
+    assert len(held) > 100 and len([i for i in held if i not in kept]) <= 0.01 * len(held)
+    assert len([i for i, _, _ in rows if i not in kept]) <= 0.01 * len(rows)
+    assert len([i for i, _, _ in junk if i in kept]) <= 2
+
+
+def test_language_stage_keeps_ambiguous_text_of_inseparable_labels(spark):
+    rng = random.Random(10)
+    docs = spark.createDataFrame([(i, prose(rng, 30), "en" if i % 2 else "de", "s", 0) for i in range(80)], "doc_id long, text string, lang string, source string, n_chars long")
+    with pytest.warns(UserWarning, match="ambiguous documents stay"):
+        assert corpus_pipeline.language(spark, docs, "").count() == 80

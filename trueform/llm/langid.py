@@ -2,8 +2,9 @@
 
 Each language has a codeword; for each bit a binary classifier over hashed byte
 trigrams learns the languages with that bit from the others. A text's bits are
-decoded to the language of least weighted loss, and a small lead is flagged as
-ambiguous.
+decoded to the language of least weighted loss. A small lead is flagged as
+ambiguous, and so is a text that one of its language's bits does not support:
+random letters and mixed languages can lead by far and still miss a bit.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from trueform.llm.textbytes import lower_ascii
 BUCKET_BITS = 14
 UNDETERMINED = "und"
 LEAD = 0.2  # a score lead below it is ambiguous
+SUPPORT = 0.4  # so is a text whose weakest bit speaks for the language by less than this mean log odds a trigram
+CLEAN_LOSS = 0.01  # share of labelled held-out documents beyond which the flag says more about the model than about a text
 
 
 def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +109,8 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
     """``documents`` (all columns) with lang_pred, lang_score (0 to 1), lang_ambiguous.
 
     The whole text counts. Null text, text without a letter and a model without
-    languages give ``und``, score 0, ambiguous. One language alone scores 1.
+    languages give ``und``, score 0, ambiguous. One language alone scores 1 and
+    has no bits, so it is never ambiguous.
     Columns named like the added ones give way.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)  # languages and buckets bound its size
@@ -130,16 +134,25 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
                     best = shares.argmax(1)
                     score = shares[np.arange(len(best)), best]
                     lead = score - (np.partition(shares, -2, axis=1)[:, -2] if len(m.languages) > 1 else 0)
+                    support = (margins * m.codes[best]).min(axis=1, initial=np.inf)
                     names = np.array(m.languages, dtype=object)[best]
                 else:
-                    score = lead = np.zeros(batch.num_rows)
+                    score = lead = support = np.zeros(batch.num_rows)
                     names, real = np.full(batch.num_rows, UNDETERMINED, dtype=object), np.zeros(batch.num_rows, dtype=bool)
                 yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in own] + [
-                    pa.array(np.where(real, names, UNDETERMINED), pa.string()), pa.array(np.where(real, score, 0.0)), pa.array(~real | (lead < LEAD))], names=schema.names)
+                    pa.array(np.where(real, names, UNDETERMINED), pa.string()), pa.array(np.where(real, score, 0.0)), pa.array(~real | (lead < LEAD) | (support < SUPPORT))], names=schema.names)
 
     return documents.select(*[f.name for f in own]).mapInArrow(predict, schema)
 
 
+def flagged_held_out(documents: DataFrame, model: LanguageModel) -> tuple[int, int]:
+    """(flagged as ambiguous, all) of the held-out documents with a label and a letter."""
+    known = documents.filter(held_out() & F.col("lang").isNotNull()).select("text")
+    row = identify(known, model).filter(F.col("lang_pred") != UNDETERMINED).agg(
+        F.count_if("lang_ambiguous").alias("flagged"), F.count("*").alias("n")).first()
+    return row["flagged"], row["n"]
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """A fixed quarter of the documents, never learned from; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
