@@ -66,3 +66,19 @@ def test_header_promotion_and_flatten(spark):
                                    "field string, field2 struct<subfield:string, attributes:struct<type:string>>, "
                                    "attributes struct<type:string>")
     assert records.flatten(nested).columns == ["field", "field2.subfield"]
+
+
+def test_line_breaks_in_cells_and_mapping_inputs(spark, tmp_path):
+    from trueform.operators import mapping as M
+    from trueform.sources import mappings_io as MIO
+    cols = ", ".join(f"{c} string" for c in ("MilestoneFlag", "client_no", "born_on", "sex"))
+    files.write_delimited(spark.createDataFrame([("Intake", "K-17\nb", "3/14/1971", "Male"), ("Intake", "K-22", "7/2/1964", "Fe\nmale")], cols), str(tmp_path / "site"))
+    spark.createDataFrame(list({**COLMAP, "MilestoneFlag": "MilestoneFlag"}.items()), "`Internal Column Name` string, `Mission Impact Field Name` string") \
+        .write.option("header", True).csv(str(tmp_path / "colmap"))
+    maps = spark.createDataFrame([("Gender", "Fe\nmale", "Female", "Yes")], M.MAPPING_SCHEMA)
+    MIO.write_value_mappings(maps, str(tmp_path / "maps"))
+    assert [tuple(r) for r in MIO.load_value_mappings(spark, str(tmp_path / "maps"), SPEC).collect()] == [("Gender", "Fe\nmale", "Female", "Yes")]
+    assert {tuple(h) for h in MIO.value_mapping_headers(spark, str(tmp_path / "maps")).values()} == {MIO.VALUE_MAPPING_COLUMNS}
+    res = P.conform_files(spark, [str(tmp_path / "site")], SPEC, str(tmp_path / "colmap"), str(tmp_path / "maps"), "M-1")
+    assert res.status == P.SUCCESS, res.failures and res.failures.collect()
+    assert sorted((r["CaseNumber"], r["Gender"]) for r in res.dataset.collect()) == [("K-17\nb", 2), ("K-22", 1)]

@@ -113,9 +113,11 @@ def conform(datasets: Mapping[str, DataFrame], spec: TableSpec, column_mapping:
 
 
 def conform_files(spark: SparkSession, paths, spec: TableSpec, column_mapping_path: str,
-                  value_mapping_folder: str | None, member_id: str | None, **kw) -> ConformResult:
-    """Load every input from paths (A1, A14, A10), then :func:`conform`."""
-    datasets = files.read_datasets(spark, paths)
+                  value_mapping_folder: str | None, member_id: str | None, *, multi_line: bool = True,
+                  **kw) -> ConformResult:
+    """Load every input from paths (A1, A14, A10), then :func:`conform`. Cells may hold line
+    breaks; a caller whose files hold none says ``multi_line=False`` and large files are split."""
+    datasets = files.read_datasets(spark, paths, multi_line=multi_line)
     colmap = load_column_mapping(spark, column_mapping_path)
     maps = load_value_mappings(spark, value_mapping_folder, spec) if value_mapping_folder else None
     return conform(datasets, spec, colmap, maps, member_id, **kw)

@@ -17,11 +17,11 @@ def load_value_mappings(spark: SparkSession, folder: str, spec: TableSpec | None
     """A10: one read of every CSV under ``folder``; the field is the file name
     (``<field>.csv``) or the ``field=`` folder written by :func:`write_value_mappings`.
     Files of unknown fields are ignored. Columns are taken by name, file by file; a file
-    whose header lacks one gives its rows as nulls (C9 checks headers first). The
-    number of files follows the spec's fields."""
+    whose header lacks one gives its rows as nulls (C9 checks headers first). Inputs may
+    hold line breaks. The number of files follows the spec's fields."""
     raw = None
     for path in list_files(spark, folder, "*.csv", recursive=True):
-        one = _reader(spark).csv(path)
+        one = _reader(spark, multi_line=True).csv(path)
         part = one.select(*[F.col(f"`{c}`") if c in one.columns else F.lit(None).cast("string").alias(c)
                             for c in VALUE_MAPPING_COLUMNS], F.col("_metadata.file_path").alias("__p"))
         raw = part if raw is None else raw.unionByName(part)
@@ -40,7 +40,7 @@ def load_value_mappings(spark: SparkSession, folder: str, spec: TableSpec | None
 
 def value_mapping_headers(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     """Header of each mapping file, by path."""
-    return {p: _reader(spark).csv(p).columns for p in list_files(spark, folder, "*.csv", recursive=True)}
+    return {p: _reader(spark, multi_line=True).csv(p).columns for p in list_files(spark, folder, "*.csv", recursive=True)}
 
 
 def write_value_mappings(mappings: DataFrame, folder: str) -> None:
@@ -64,7 +64,7 @@ def review_table(mappings: DataFrame, spec: TableSpec) -> DataFrame:
 
 def load_column_mapping(spark: SparkSession, path: str) -> DataFrame:
     """The 2-column mapping table (checked by C8 before use)."""
-    return _reader(spark).csv(path)
+    return _reader(spark, multi_line=True).csv(path)
 
 
 def column_mapping_dict(colmap: DataFrame) -> dict[str, str | None]:
