@@ -218,7 +218,8 @@ def classify(documents: DataFrame, labels: DataFrame, targets: tuple[str, ...] =
     other values are ignored. Null text has no evidence; a null host or path is
     a site like any other; a site without labels has its host's or the global
     rate. Without labels every score is 0.5 and all are kept. Null and
-    repeated doc_ids are rows of the result; other columns are ignored.
+    repeated doc_ids are rows of the result; other columns are ignored. The
+    documents have no path: ``lang`` stands in for it unless ``path`` names one.
     """
     docs = documents.select("doc_id", "text", F.col(host).alias("host"), F.col(path).alias("path"))
     one = saved(labels.filter("doc_id is not null").groupBy("doc_id").agg(*[F.max(t).alias(t) for t in targets]), "labels")
