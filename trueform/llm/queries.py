@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trueform.llm import chat, decontaminate, embed_dedup, langid, minhash, packing, quality, substring, suffix_dedup, token_counts
+from trueform.llm import (alignment, chat, decontaminate, embed_dedup, langid, licenses, merkle, minhash, packing, quality, substring,
+                          suffix_dedup, token_counts)
 from trueform.llm.common import on_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +153,67 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_alignment(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE bits AS (SELECT b, 0 AS n, CAST(b AS UBIGINT) AS c FROM range(256) AS t(b)
+                        UNION ALL SELECT b, n + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END FROM bits WHERE n < 8),
+tab AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE n = 8),
+doc AS (SELECT *, list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS UBIGINT))),
+                              lambda x, y: xor(x >> 8, t[CAST(xor(x, y) & 255 AS INTEGER) + 1])) AS crc FROM documents, tab),
+enc AS (SELECT doc_id, source, text IS NOT NULL AND xor(crc, CAST(4294967295 AS UBIGINT)) % 5 = 0 AS tampered,
+          coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+          || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+          coalesce(strlen(text) || ':' || text, '-') AS body,
+          coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS low FROM doc),
+leaf AS (SELECT doc_id, source, sha256(head || body) AS leaf, sha256(head || CASE WHEN tampered THEN low ELSE body END) AS given FROM enc),
+base AS (SELECT *, row_number() OVER () AS k, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM leaf),
+node AS (SELECT source, 0 AS l, r AS i, leaf AS h, n FROM base
+         UNION ALL SELECT source, l + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 15) // 16 FROM node WHERE n > 1 GROUP BY source, l, i // 16),
+sub AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r, count(*) OVER () AS n FROM node WHERE n = 1),
+up AS (SELECT 0 AS l, r AS i, subroot AS h, n FROM sub
+       UNION ALL SELECT l + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 15) // 16 FROM up WHERE n > 1 GROUP BY l, i // 16),
+way AS (SELECT k, source, 0 AS l, r AS i, n FROM base UNION ALL SELECT k, source, l + 1, i // 16, (n + 15) // 16 FROM way WHERE n > 1),
+upway AS (SELECT source, 0 AS l, r AS i, n FROM sub UNION ALL SELECT source, l + 1, i // 16, (n + 15) // 16 FROM upway WHERE n > 1),
+step AS (SELECT k, way.l, string_agg(h, '' ORDER BY node.i) FILTER (node.i < way.i) AS a, string_agg(h, '' ORDER BY node.i) FILTER (node.i > way.i) AS b
+         FROM way JOIN node ON node.source IS NOT DISTINCT FROM way.source AND node.l = way.l AND node.i // 16 = way.i // 16 WHERE way.n > 1 GROUP BY k, way.l),
+upstep AS (SELECT source, upway.l + 1000 AS l, string_agg(h, '' ORDER BY up.i) FILTER (up.i < upway.i) AS a, string_agg(h, '' ORDER BY up.i) FILTER (up.i > upway.i) AS b
+           FROM upway JOIN up ON up.l = upway.l AND up.i // 16 = upway.i // 16 WHERE upway.n > 1 GROUP BY source, upway.l),
+steps AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY l) AS s, coalesce(a, '') AS a, coalesce(b, '') AS b
+          FROM (SELECT * FROM step UNION ALL SELECT k, l, a, b FROM base JOIN upstep ON base.source IS NOT DISTINCT FROM upstep.source)),
+fold AS (SELECT k, 1 AS s, given AS h FROM base UNION ALL SELECT fold.k, fold.s + 1, sha256(a || h || b) FROM fold JOIN steps ON steps.k = fold.k AND steps.s = fold.s),
+done AS (SELECT k, arg_max(h, s) AS folded_root FROM fold GROUP BY k),
+proof AS (SELECT k, string_agg(a || b, '' ORDER BY s) AS p FROM steps GROUP BY k),
+root AS (SELECT h AS root FROM up WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(p, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM base JOIN sub ON base.source IS NOT DISTINCT FROM sub.source CROSS JOIN root JOIN done USING (k) LEFT JOIN proof USING (k)
+"""
+
+
+@query(OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    low = F.when(tampered, F.translate("text", merkle.UPPER, merkle.LOWER)).otherwise(F.col("text"))
+    given = merkle.leaf_digest([F.col(c) for c in kept[:-1]] + [low])
+    rows = merkle.manifest(docs, "source", "doc_id", kept, {"given": given})
+    rows = rows.withColumn("folded_root", merkle.folded(F.col("given"), F.col("path")))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query()
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("detections")
+    base = F.filter(found, lambda d: d["kind"] == "base")
+    labels = lambda held: F.array_join(F.array_sort(F.array_distinct(held["label"])), ",")
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(base["first_word"]).alias("first_word"),
+        F.array_max(base["first_word"]).alias("last_word"), labels(base).alias("base_labels"), labels(found).alias("labels"),
+        F.coalesce(F.array_max(found["score"]), F.lit(0.0)).alias("score"), "n_suppressed")
