@@ -123,3 +123,33 @@ def test_optional_cells_reported_for_survivors_and_counted(spark):
     s = res.summary().collect()[0]
     assert (s["rows_to_upload"], s["rows_dropped"], s["values_dropped"]) == (1, 5, 2)
     assert process(df, spec, materialize=None, dedupe=False).conformed.count() == 3
+
+
+def test_stored_outputs_are_the_lazy_ones(spark):
+    """One pass gives the rows of the three frames and the summary; kinds without rows are empty frames."""
+    from collections import Counter
+
+    from trueform.operators.process import process
+    from trueform.plans.spec import FieldSpec, TableSpec
+    spec = TableSpec(fields=(FieldSpec("k", required=True), FieldSpec("n", "integer"), FieldSpec("l", enum=("A", "B"), allows_multiple=True)),
+                     milestone_names=(), primary_key=("k",), case_field="k", flag_field="k")
+    rows = [("a", "1", ["A"], "x"), ("a", "2", ["B"], "x"), ("", "3", ["C"], None), ("b", "1.5", ["A", "C"], "y"), ("c", None, None, "z"), (None, "q", [], "w")]
+    for data in (rows, rows[3:5], rows[2:3], []):
+        df = spark.createDataFrame(data, "k string, n string, l array<string>, note string")
+        lazy, kept = process(df, spec), process(df, spec).store()
+        for kind in ("conformed", "dropped", "invalid"):
+            a, b = getattr(lazy, kind), getattr(kept, kind)
+            assert a.columns == b.columns and Counter(map(str, a.collect())) == Counter(map(str, b.collect())), kind
+        assert lazy.summary().first() == kept.summary().first()
+
+
+def test_stored_conform_run(spark):
+    from trueform.plans import pipeline as P
+    from trueform.plans.spec import load_spec
+    df = spark.createDataFrame([("Intake", "K-1", "3/14/1971", "Male"), ("Intake", "", "3/14/1971", "Male")], "MilestoneFlag string, no string, born string, sex string")
+    run = lambda **kw: P.conform({"a": df}, load_spec(), {"no": "CaseNumber", "born": "DateOfBirth", "sex": "Gender"}, None, "M", **kw)
+    lazy, stored = run(), run(stored=True)
+    assert sorted(map(str, lazy.dataset.collect())) == sorted(map(str, stored.dataset.collect()))
+    assert lazy.summary.first() == stored.summary.first() and stored.dropped.count() == 1
+    lazy.release()
+    assert not any(f.storageLevel.useMemory for f in lazy.held)

@@ -86,3 +86,41 @@ def test_column_mapping_check_stops_on_header(spark):
                                "`Internal Column Name` string, `Mission Impact Field Name` string")
     kinds = sorted((r["expectation"], r["failed_value"]) for r in X.check_column_mapping(cm, SPEC).collect())
     assert kinds == [(X.VALUES_IN_SET, "Nope"), (X.VALUES_UNIQUE, "id")]
+
+
+def test_spec_checks_as_a_relation(spark):
+    """Specs as rows give the problems and the wide names that each spec gives for itself."""
+    from trueform.plans import spec_relation as R
+    from trueform.plans.spec import FieldSpec, TableSpec, load_spec
+    coded = dict(type="integer", enum_mapping=(("a", 1), ("b", 2), ("c", 2), ("d", 9)))
+    specs = {
+        "full": load_spec(),
+        "odd": TableSpec(fields=(
+            FieldSpec("m", milestones=(0, 2, -1, 7), custom_names=((2, "Other"), (5, "Nowhere"))), FieldSpec("once"), FieldSpec("none", milestones=()),
+            FieldSpec("l1", minimum=1, maximum=4, **coded), FieldSpec("l2", minimum=1, **coded), FieldSpec("l3", **{**coded, "type": "string"}, minimum=1, maximum=2),
+            FieldSpec("l4", minimum=5, maximum=2, **coded), FieldSpec("l5", type="integer", enum_mapping=(), minimum=1, maximum=1)), milestone_names=("In", "Mid", "Out")),
+        "nameless": TableSpec(fields=(FieldSpec("m", milestones=(0, 9)), FieldSpec("once")), milestone_names=None),
+    }
+    rows = R.to_relation(spark, specs)
+    got = sorted(R.check_specs(rows).collect(), key=str)
+    want = [(site, p["field"], p["check"], p["detail"]) for site, s in specs.items() for p in s.check()]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want)) and len(want) > 8
+    names = {(r.site, r.milestone, r.wide_name, r.field) for r in R.wide_names(rows).collect()}
+    assert names == {(site, m, w, f) for site, s in specs.items() if s.milestone_names is not None for m, w, f in s.wide_columns()} | {
+        (site, None, f.name, f.name) for site, s in specs.items() for f in s.fields if f.milestones is None}
+
+
+def test_live_milestones_need_no_job_to_plan(spark):
+    from trueform.operators import shape as S
+    from trueform.plans.spec import FieldSpec, TableSpec
+    spec = TableSpec(fields=(FieldSpec("id"), FieldSpec("a", milestones=(0, 1, 2)), FieldSpec("b", milestones=(1,))), milestone_names=("In", "Mid", "Out"))
+    df = spark.createDataFrame([("1", "x", None, None, None), ("2", None, None, "z", None)], "id string, Ina string, Mida string, Midb string, Outa string")
+    spark.sparkContext.setJobGroup("plan-only", "wide to long")
+    frames = {mode: S.wide_to_long(df, spec, mode) for mode in ("keep", "drop")}
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")
+    spark.sparkContext.setJobGroup("rest", "")
+    rows = {mode: {(r.id, r.MilestoneFlag, r.a, r.b) for r in f.collect()} for mode, f in frames.items()}
+    assert rows["keep"] == {("1", "In", "x", None), ("1", "Mid", None, None), ("2", "In", None, None), ("2", "Mid", None, "z")}
+    assert rows["drop"] == {("1", "In", "x", None), ("2", "Mid", None, "z")}
+    empty = S.wide_to_long(df.where("id = 'none'"), spec)
+    assert empty.count() == 0 and "a" in empty.columns

@@ -15,20 +15,23 @@ Optional fields are conformed for the surviving rows only and are not held.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
 from functools import reduce
 from typing import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trueform.functions import cells
 from trueform.operators import rows
+from trueform.operators.mapping import last_wins
 from trueform.plans.spec import FieldSpec, TableSpec
-from trueform.session import materialize as _materialize, spread
+from trueform.session import materialize as _materialize, scratch_path, spread
 
-#: mappings up to this many entries become literal maps; beyond it fields join the mapping
-#: (AQE picks the join; multi-value cells element by element), with the same result
+#: fields with up to this many inputs get a literal map; beyond it they join the mapping (AQE
+#: picks the join; multi-value cells element by element). Repeated inputs are settled before.
 LITERAL_MAP_LIMIT = 256
 
 MAPPING_SCHEMA = "field string, input string, output string, approved string"
@@ -54,13 +57,14 @@ class ProcessResult:
     """Conformed rows plus the dropped-row and invalid-value frames.
 
     ``dropped`` and ``invalid`` are built on first access, so a caller that only
-    needs the conformed rows does not pay for planning them.
+    needs the conformed rows does not pay for planning them. A caller that needs
+    them all takes :meth:`store`, which computes every cell once.
     """
 
-    def __init__(self, conformed: DataFrame, held: DataFrame, make_dropped, make_invalid, make_summary):
+    def __init__(self, conformed: DataFrame, held: DataFrame, make_dropped, make_invalid, make_summary, make_tagged):
         self.conformed = conformed
         self.held = held  # the materialised frame
-        self._make_dropped, self._make_invalid, self._make_summary = make_dropped, make_invalid, make_summary
+        self._make_dropped, self._make_invalid, self._make_summary, self._make_tagged = make_dropped, make_invalid, make_summary, make_tagged
         self._dropped = self._invalid = None
 
     @property
@@ -79,10 +83,52 @@ class ProcessResult:
         """H1: rows to upload, rows dropped, values dropped."""
         return self._make_summary()
 
+    def store(self, path: str | None = None) -> StoredResult:
+        """Conformed, dropped and invalid rows in one pass, as one table with a folder for each kind.
+
+        The summary is observed while the rows are written, after the last shuffle,
+        so each task's rows count once; it needs no job of its own. ``path`` is a
+        folder that the whole cluster shares, by default one in the checkpoint folder.
+        """
+        tagged, observed = self._make_tagged(), Observation()
+        spark = tagged.sparkSession
+        path = path or scratch_path(spark, f"conformed-{uuid.uuid4().hex[:12]}")
+        of_kind = lambda k: F.count_if(F.col("kind") == k)
+        (tagged.observe(observed, of_kind("conformed").alias("rows_to_upload"), of_kind("dropped").alias("rows_dropped"),
+                        of_kind("invalid").alias("values_dropped"))
+         .write.partitionBy("kind").parquet(path))
+        self.unpersist()
+        frames = {}
+        for kind in ("conformed", "dropped", "invalid"):
+            schema = T.StructType([tagged.schema[kind]])  # a kind without rows has no folder
+            rows_ = spark.read.schema(schema).parquet(f"{path}/kind={kind}") if observed.get[_KIND_COUNTS[kind]] else spark.createDataFrame([], schema)
+            frames[kind] = rows_.select(f"{kind}.*")
+        return StoredResult(path=path, counts={k: int(v) for k, v in observed.get.items()}, **frames)
+
     def unpersist(self) -> None:
         self.held.unpersist()
 
 
+_KIND_COUNTS = {"conformed": "rows_to_upload", "dropped": "rows_dropped", "invalid": "values_dropped"}
+
+
+@dataclass(frozen=True)
+class StoredResult:
+    """The outputs of :meth:`ProcessResult.store`, read from where they were written."""
+
+    path: str
+    counts: dict[str, int]
+    conformed: DataFrame
+    dropped: DataFrame
+    invalid: DataFrame
+
+    def summary(self) -> DataFrame:
+        """H1, from the counts of the write."""
+        n = self.counts
+        return self.conformed.sparkSession.sql(
+            f"SELECT {n['rows_to_upload']}L AS rows_to_upload, {n['rows_dropped']}L AS rows_dropped, {n['values_dropped']}L AS values_dropped")
+
+
 def mapping_frame(spark, mappings) -> DataFrame | None:
     """Accept a long DataFrame or ``{field: {input: (output, approved)}}``."""
     if mappings is None or isinstance(mappings, DataFrame):
@@ -91,40 +137,43 @@ def mapping_frame(spark, mappings) -> DataFrame | None:
     return spark.createDataFrame(rows_, MAPPING_SCHEMA)
 
 
-def _lookups(df: DataFrame, fields: list[FieldSpec], mappings: DataFrame | None,
-             array_fields: set[str]) -> tuple[DataFrame, dict[str, cells.Lookup]]:
-    """Per-field lookups: literal maps for small mappings, joins for large."""
-    out: dict[str, cells.Lookup] = {}
-    if mappings is None:
-        return df, out
-    wanted = [f.name for f in fields if f.is_mappable]
-    if not wanted:
-        return df, out
-    # a blank input loads as null; it matches no cell
+def settled_mappings(mappings: DataFrame | None, spec: TableSpec) -> tuple[DataFrame, dict[str, int], dict[str, cells.Lookup]] | None:
+    """Mappings with one output an input (E1: the later row wins), inputs per field, literal maps of the small fields.
+
+    The order is the ``position`` column, else the frame's own row order. A blank
+    input loads as null and matches no cell. Two small jobs for the whole run.
+    """
+    wanted = [f.name for f in spec.fields if f.is_mappable]
+    if mappings is None or not wanted:
+        return None
     m = mappings.where(F.col("field").isin(*wanted) & F.col("input").isNotNull())
-    # usual case, one small job: every mapping row fits the literal-map budget
-    head = m.select("field", "input", "output").limit(LITERAL_MAP_LIMIT + 1).collect()
-    if len(head) <= LITERAL_MAP_LIMIT:
-        pairs0: dict[str, dict[str, str | None]] = {}
-        for r in head:
-            pairs0.setdefault(r["field"], {})[r["input"]] = r["output"]
-        return df, {f: cells.MapLookup(p) for f, p in pairs0.items()}
+    if "position" not in m.columns:
+        m = m.withColumn("position", F.monotonically_increasing_id())
+    m = last_wins(m)
     counts = {r["field"]: r["n"] for r in m.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}
     small = [f for f, n in counts.items() if n <= LITERAL_MAP_LIMIT]
+    pairs: dict[str, dict[str, str | None]] = {}
     if small:
-        pairs: dict[str, dict[str, str | None]] = {}
         for r in m.where(F.col("field").isin(*small)).select("field", "input", "output").collect():
             pairs.setdefault(r["field"], {})[r["input"]] = r["output"]
-        for f, p in pairs.items():
-            out[f] = cells.MapLookup(p)
+    return m, counts, {f: cells.MapLookup(p) for f, p in pairs.items()}
+
+
+def _lookups(df: DataFrame, fields: list[FieldSpec], settled, array_fields: set[str]) -> tuple[DataFrame, dict[str, cells.Lookup]]:
+    """Per-field lookups: literal maps for small mappings, joins for large."""
+    if settled is None:
+        return df, {}
+    m, counts, literal = settled
+    names = {f.name for f in fields}
+    out: dict[str, cells.Lookup] = {f: p for f, p in literal.items() if f in names}
     by_name = {f.name: f for f in fields}
     for name in counts:
-        if name in out:
+        if name in out or name not in names:
             continue
         fs = by_name[name]
         hit, res, inp, cell = f"__mh_{name}", f"__mo_{name}", f"__mi_{name}", f"__mc_{name}"
         side = (m.where(F.col("field") == name)
-                .select(F.col("input").alias(inp), F.col("output").alias(res)).dropDuplicates([inp]))
+                .select(F.col("input").alias(inp), F.col("output").alias(res)))
         if name in array_fields:
             # distinct cells, element by element against the mapping, regrouped by cell
             keys = F.array_distinct(F.transform(F.col(cell), lambda x: cells.mapping_key(fs, x)))
@@ -237,7 +286,7 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
     ``dedupe=False`` leaves repeated keys in (a stream settles them over its sink).
     """
     spark = df.sparkSession
-    mappings = mapping_frame(spark, mappings)
+    settled = settled_mappings(mapping_frame(spark, mappings), spec)
     df = spread(df)
     src_cols = list(df.columns)
     required = spec.required_names
@@ -252,7 +301,7 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
     later = [f for f in fields if not f.required and f.name not in keys]
 
     # required and key fields of every row
-    df, lookups = _lookups(df, first, mappings, array_fields)
+    df, lookups = _lookups(df, first, settled, array_fields)
     staged = conform_columns(df, cols, first, array_fields, lookups)
     missing = rows.missing_required({f.name: F.col(_v(f.name)) for f in first}, required)
     base = _materialize(staged.withColumn("__missing", missing), materialize)
@@ -268,7 +317,7 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
     # optional fields of the survivors
     full = parent.where(F.col("__status") == "kept")
     if later:
-        full, lookups = _lookups(full, later, mappings, array_fields)
+        full, lookups = _lookups(full, later, settled, array_fields)
         done = [*cols, *[name(f.name) for f in first for name in (_v, _r)], "__status"]
         full = conform_columns(full, done, later, array_fields, lookups)
 
@@ -281,7 +330,7 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
             out_cols.append(F.col(c))
     conformed = full.select(*out_cols)
 
-    def make_dropped() -> DataFrame:
+    def dropped_columns() -> list[Column]:
         # pre-transform rows; duplicates carry conformed required fields
         d_cols = []
         for c in src_cols:
@@ -290,11 +339,11 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
                               .otherwise(F.col(c).cast("string")).alias(c))
             else:
                 d_cols.append(F.col(c))
-        return parent.where(F.col("__status") != "kept").select(
-            *d_cols,
-            F.col("__status").alias("drop_kind"),
-            F.when(F.col("__status") == "missing", F.col("__missing")).alias("missing_fields"),
-        )
+        return [*d_cols, F.col("__status").alias("drop_kind"),
+                F.when(F.col("__status") == "missing", F.col("__missing")).alias("missing_fields")]
+
+    def make_dropped() -> DataFrame:
+        return parent.where(F.col("__status") != "kept").select(*dropped_columns())
 
     def make_invalid() -> DataFrame:
         early = invalid_values(parent, spec, first, array_fields, cols)
@@ -303,12 +352,34 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
     def make_summary() -> DataFrame:
         return summary_frame([_counts(parent, first), _counts(full, later, values_only=True)])
 
-    return ProcessResult(conformed, base, make_dropped, make_invalid, make_summary)
-
-
-def invalid_values(parent: DataFrame, spec: TableSpec, fields: list[FieldSpec],
-                   array_fields: set[str], cols: list[str]) -> DataFrame:
-    """one record per invalid cell; optional fields only for kept rows."""
+    def make_tagged() -> DataFrame:
+        # optional cells of dropped rows are hidden, so that conforming them costs nothing
+        kept = F.col("__status") == "kept"
+        rest = [f.name for f in later]
+        whole = parent.withColumn("__dropped", F.when(~kept, F.struct(*dropped_columns())))
+        if later:
+            whole = whole.withColumns({n: F.when(kept, F.col(n)) for n in rest})
+            whole, lookups = _lookups(whole, later, settled, array_fields)
+            done = [*cols, *[name(f.name) for f in first for name in (_v, _r)], "__status", "__dropped"]
+            whole = conform_columns(whole, done, later, array_fields, lookups)
+        row = F.when(kept, F.struct(*out_cols))
+        bad = _invalid_records(spec, [*first, *later], array_fields, cols)
+        whole = whole.select(row.alias("__row"), "__dropped", bad.alias("__bad"))
+        tag = lambda kind, **held: F.struct(F.lit(kind).alias("kind"), *[held.get(k, F.lit(None)).alias(k) for k in ("conformed", "dropped", "invalid")])
+        types = whole.schema
+        null = {"conformed": F.lit(None).cast(types["__row"].dataType), "dropped": F.lit(None).cast(types["__dropped"].dataType),
+                "invalid": F.lit(None).cast(INVALID_SCHEMA)}
+        tags = F.concat(
+            F.filter(F.array(tag("conformed", **{**null, "conformed": F.col("__row")}), tag("dropped", **{**null, "dropped": F.col("__dropped")})),
+                     lambda x: x["conformed"].isNotNull() | x["dropped"].isNotNull()),
+            F.transform("__bad", lambda x: tag("invalid", **{**null, "invalid": x})))
+        return whole.select(F.explode(tags).alias("t")).select("t.*")
+
+    return ProcessResult(conformed, base, make_dropped, make_invalid, make_summary, make_tagged)
+
+
+def _invalid_records(spec: TableSpec, fields: list[FieldSpec], array_fields: set[str], cols: list[str]) -> Column:
+    """the invalid cells of a row; optional fields only if the row is kept."""
     kept = F.col("__status") == "kept"
     recs = []
     for f in fields:
@@ -322,10 +393,14 @@ def invalid_values(parent: DataFrame, spec: TableSpec, fields: list[FieldSpec],
             cells.original_text(F.col(f.name), f.name in array_fields).alias("original_value"),
             reason.alias("reason"),
         ))
-    if not recs:
-        return parent.sparkSession.createDataFrame([], INVALID_SCHEMA)
-    arr = F.filter(F.array(*recs), lambda x: x["reason"].isNotNull())
-    return parent.select(F.explode(arr).alias("r")).select("r.*")
+    empty = F.array().cast(T.ArrayType(INVALID_SCHEMA))
+    return F.filter(F.array(*recs), lambda x: x["reason"].isNotNull()) if recs else empty
+
+
+def invalid_values(parent: DataFrame, spec: TableSpec, fields: list[FieldSpec],
+                   array_fields: set[str], cols: list[str]) -> DataFrame:
+    """one record per invalid cell; optional fields only for kept rows."""
+    return parent.select(F.explode(_invalid_records(spec, fields, array_fields, cols)).alias("r")).select("r.*")
 
 
 def _counts(frame: DataFrame, fields: list[FieldSpec], values_only: bool = False) -> DataFrame:

@@ -82,7 +82,9 @@ def wide_to_long(df: DataFrame, spec: TableSpec, empty_rows: str = "keep",
     A milestone is skipped when none of its columns holds data in any row
     (``empty_rows="keep"``, the reference behaviour); ``"drop"`` also removes
     the individual rows that are empty for a milestone. Missing columns read
-    as null.
+    as null. Which milestones are live is a scalar subquery of the plan: no job
+    runs while it is built, and the columns follow from the spec and the header.
+    ``"drop"`` needs no such pass.
     """
     by_milestone, admin = spec.column_format_fields()
     cols = set(df.columns)
@@ -91,25 +93,21 @@ def wide_to_long(df: DataFrame, spec: TableSpec, empty_rows: str = "keep",
     present = {m: f for m, f in present.items() if f}
     if not present:
         return df.sparkSession.createDataFrame([], T.StructType([]))
-    # which milestones carry any data: one small aggregation over the wide columns
-    has_any = [F.max(_any_not_null(list(f)).cast("int")).alias(m) for m, f in present.items()]
-    flags = df.agg(*has_any).collect()[0].asDict()
-    live = [m for m in present if flags.get(m)]
-    if not live:
-        return df.sparkSession.createDataFrame([], T.StructType([]))
-    out_fields = sorted({f for m in live for f in present[m].values()})
+    out_fields = sorted({f for fields in present.values() for f in fields.values()})
     structs = []
-    for m in live:
-        inv = {f: w for w, f in present[m].items()}
+    for i, (m, fields) in enumerate(present.items(), 1):
+        inv = {f: w for w, f in fields.items()}
         members = [F.lit(m).alias(flag_field)]
         for f in out_fields:
             members.append((col(inv[f]).cast("string") if f in inv else F.lit(None).cast("string")).alias(f))
-        any_data = _any_not_null(list(present[m]))
-        members.append(any_data.alias("__any"))
+        members += [_any_not_null(list(fields)).alias("__any"), F.lit(i).alias("__at")]
         structs.append(F.struct(*members))
     exploded = df.select(*[col(a) for a in admin_present], F.explode(F.array(*structs)).alias("__m"))
     if empty_rows == "drop":
         exploded = exploded.where(F.col("__m.__any"))
+    else:
+        live = df.select(F.array(*[F.bool_or(_any_not_null(list(f))) for f in present.values()]).alias("live")).scalar()
+        exploded = exploded.where(F.element_at(live, F.col("__m.__at")))
     sel = [col(a) for a in admin_present if a != flag_field]
     sel += [F.col("__m." + _q(flag_field)).alias(flag_field)]
     sel += [F.col("__m." + _q(f)).alias(f) for f in out_fields if f != flag_field]

@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from trueform.operators import expectations as X
 from trueform.operators import mapping as M
 from trueform.operators import shape as S
-from trueform.operators.process import ProcessResult, process
+from trueform.operators.process import ProcessResult, StoredResult, process
 from trueform.plans.spec import TableSpec
 from trueform.session import materialize as _materialize
 from trueform.sources import files
-from trueform.sources.mappings_io import column_mapping_dict, load_column_mapping, load_value_mappings
+from trueform.sources.mappings_io import column_mapping_dict, header_problems, load_column_mapping, load_value_mappings
 
 # Run outcomes.
 SUCCESS = "success"
@@ -43,8 +43,16 @@ class ConformResult:
     dataset: DataFrame | None = None
     field_mappings: DataFrame | None = None
     failures: DataFrame | None = None
-    processed: ProcessResult | None = None
+    processed: ProcessResult | StoredResult | None = None
     details: dict = dc_field(default_factory=dict)
+    held: list[DataFrame] = dc_field(default_factory=list)
+
+    def release(self) -> None:
+        """Frees the frames that the run held; call it when the result's frames have been used."""
+        for df in self.held:
+            df.unpersist()
+        if isinstance(self.processed, ProcessResult):
+            self.processed.unpersist()
 
     @property
     def summary(self) -> DataFrame | None:
@@ -62,8 +70,11 @@ class ConformResult:
 def conform(datasets: Mapping[str, DataFrame], spec: TableSpec, column_mapping: DataFrame | Mapping,
             source_mappings: DataFrame | None, member_id: str | None, *, row_format: bool = True,
             delimiter: str = ";", overwrite: bool = False, materialize: str | None = "persist",
-            fuzzy_method: str = "native") -> ConformResult:
-    """The gated run; see the module docstring for the order of gates."""
+            fuzzy_method: str = "native", mapping_headers: DataFrame | None = None,
+            stored: bool = False) -> ConformResult:
+    """The gated run; see the module docstring for the order of gates. ``mapping_headers``:
+    header failures of the mapping files, checked before their rows. ``stored``: conformed,
+    dropped and invalid rows are written in one pass and read from there."""
     problems = spec.check()
     if problems:
         spark = next(iter(datasets.values())).sparkSession if datasets else SparkSession.getActiveSession()
@@ -71,6 +82,11 @@ def conform(datasets: Mapping[str, DataFrame], spec: TableSpec, column_mapping:
     if files.is_empty_input(dict(datasets)):  # A3
         return ConformResult(NO_DATA)
     spark = next(iter(datasets.values())).sparkSession
+    held: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(_materialize(df, materialize))
+        return held[-1]
 
     if isinstance(column_mapping, DataFrame):
         fails = X.check_column_mapping(column_mapping, spec, row_format)
@@ -80,22 +96,24 @@ def conform(datasets: Mapping[str, DataFrame], spec: TableSpec, column_mapping:
     else:
         colmap = dict(column_mapping)
 
+    if mapping_headers is not None and not mapping_headers.isEmpty():
+        return ConformResult(VALMAP_INVALID, failures=mapping_headers)
     if source_mappings is not None:
         # read by the check and by the resolve step: materialise once
-        source_mappings = _materialize(source_mappings, materialize)
+        source_mappings = hold(source_mappings)
         fails = X.check_value_mappings(source_mappings, spec)
         if not fails.isEmpty():
-            return ConformResult(VALMAP_INVALID, failures=fails)
+            return ConformResult(VALMAP_INVALID, failures=fails, held=held)
 
     shape_problems = X.shape_problems(dict(datasets), spec, colmap, row_format)  # plan time, no job
     if shape_problems:
-        return ConformResult(SHAPE_INVALID, failures=X.failure_frame(spark, shape_problems))
+        return ConformResult(SHAPE_INVALID, failures=X.failure_frame(spark, shape_problems), held=held)
 
     shaped = [S.shape(df, spec, colmap, member_id, row_format, delimiter) for df in datasets.values()]
     combined = S.union_by_name(shaped)
     combined = combined.select(*[
         F.coalesce(S.col(c), F.lit("")).alias(c) if t == "string" else S.col(c) for c, t in combined.dtypes])
-    combined = _materialize(combined, materialize)
+    combined = hold(combined)
 
     # suggestions come from distinct (field, raw) pairs, one best option each, so
     # they cannot conflict; the E6 guard is for mappings assembled elsewhere
@@ -103,23 +121,29 @@ def conform(datasets: Mapping[str, DataFrame], spec: TableSpec, column_mapping:
     if source_mappings is None:
         source_mappings = spark.createDataFrame([], M.MAPPING_SCHEMA)
     resolved = M.resolve(generated, source_mappings, overwrite=overwrite, remove_unapproved_source=True)
-    resolved = _materialize(resolved, materialize)
+    resolved = hold(resolved)
     if not X.check_approvals(resolved).isEmpty():  # C10
-        return ConformResult(APPROVAL_NEEDED, field_mappings=resolved)
+        return ConformResult(APPROVAL_NEEDED, field_mappings=resolved, held=held)
 
     result = process(combined, spec, resolved, materialize=materialize)
+    if stored:
+        result = result.store()
     out = S.arrays_to_text(result.conformed, spec)
-    return ConformResult(SUCCESS, dataset=out, field_mappings=resolved, processed=result)
+    return ConformResult(SUCCESS, dataset=out, field_mappings=resolved, processed=result, held=held)
 
 
 def conform_files(spark: SparkSession, paths, spec: TableSpec, column_mapping_path: str,
-                  value_mapping_folder: str | None, member_id: str | None, *, multi_line: bool = True,
+                  value_mapping_folder: str | None, member_id: str | None, *, multi_line: bool | None = None,
                   **kw) -> ConformResult:
-    """Load every input from paths (A1, A14, A10), then :func:`conform`. Cells may hold line
-    breaks; a caller whose files hold none says ``multi_line=False`` and large files are split."""
+    """Load every input from paths (A1, A14, A10), then :func:`conform`. Files whose cells hold
+    line breaks are read whole, all others are split, unless ``multi_line`` settles it for all.
+    A mapping file with a wrong header ends the run before its rows are used (C9)."""
     datasets = files.read_datasets(spark, paths, multi_line=multi_line)
     colmap = load_column_mapping(spark, column_mapping_path)
-    maps = load_value_mappings(spark, value_mapping_folder, spec) if value_mapping_folder else None
+    maps = None
+    if value_mapping_folder:
+        maps = load_value_mappings(spark, value_mapping_folder, spec)
+        kw["mapping_headers"] = header_problems(spark, value_mapping_folder, spec)
     return conform(datasets, spec, colmap, maps, member_id, **kw)
 
 

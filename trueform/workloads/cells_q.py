@@ -413,3 +413,25 @@ def f18_mapped_large(spark, sf_dir):
     spec = TableSpec(fields=(FieldSpec("segments", enum=SEGMENTS, allows_multiple=True),))
     out = process(d, spec, customer_mapping(spark, sf_dir, "segments"), materialize=None).conformed
     return out.select("o_orderkey", join_values(F.col("segments")).alias("segments"))
+
+
+REPEATS_SQL = f"""WITH m AS ({CUSTOMER_MAP_SQL})
+SELECT o_orderkey, nullif(output, '') AS segment,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN concat('P', substr(o_orderpriority, 1, 1)) ELSE 'P0' END AS priority
+FROM orders LEFT JOIN m ON input = concat('Customer#', CAST(o_custkey AS STRING))"""
+
+
+@register("f6_mapped_repeats", REPEATS_SQL)
+def f6_mapped_repeats(spark, sf_dir):
+    """E1 + F6 through the process job: inputs that repeat, in a long mapping (joined) and a short one (literal); the later row wins."""
+    from trueform.operators.process import process
+    d = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "concat('Customer#', CAST(o_custkey AS STRING)) AS segment", "o_orderpriority AS priority")
+    spec = TableSpec(fields=(FieldSpec("segment", enum=SEGMENTS), FieldSpec("priority", enum=("P0", "P1", "P2", "P3", "P4", "P5"))))
+    right = customer_mapping(spark, sf_dir, "segment")
+    first = right.withColumn("output", F.lit(SEGMENTS[0]))
+    short = (table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("input")).distinct()
+             .select(F.lit("priority").alias("field"), "input", F.explode(F.array(*[F.struct(F.lit(n).alias("position"), o.alias("output")) for n, o in (
+                 (1, F.lit("P0")), (2, F.when(F.col("input") != "5-LOW", F.concat(F.lit("P"), F.substring("input", 1, 1))).otherwise(F.lit("P0"))))])).alias("w"))
+             .select("field", "input", "w.output", F.lit("Yes").alias("approved"), "w.position"))
+    maps = right.withColumn("position", F.lit(2)).unionByName(first.withColumn("position", F.lit(1))).unionByName(short)
+    return process(d, spec, maps, materialize=None).conformed

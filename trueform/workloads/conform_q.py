@@ -192,3 +192,24 @@ def g2_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
     res = process(dirty_events(spark, sf_dir).drop("day"), EVENTS_SPEC)
     return res.dropped.withColumn("missing_fields", F.array_join("missing_fields", ","))
+
+
+I4_STORED_SQL = f"""WITH {EVENTS_ORACLE_CTE},
+inv AS ({F22_SQL.split(EVENTS_ORACLE_CTE, 1)[1]}),
+kinds AS (SELECT 'conformed' AS kind, event_id, et AS event_type, CAST(uid AS STRING) AS user_id, NULL AS reason FROM st WHERE status = 'kept'
+  UNION ALL SELECT 'dropped', event_id, CASE WHEN status = 'duplicate' THEN et ELSE et_raw END,
+    CASE WHEN status = 'duplicate' THEN CAST(uid AS STRING) ELSE uid_raw END, status FROM st WHERE status <> 'kept'
+  UNION ALL SELECT 'invalid', case_number, field_name, original_value, reason FROM inv)
+SELECT kinds.*, s.* FROM kinds CROSS JOIN ({H1_SQL.split(EVENTS_ORACLE_CTE, 1)[1]}) s"""
+
+
+@register("i4_stored", I4_STORED_SQL)
+def i4_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4, F22, G4, H1 in one pass: every output row by kind, with the summary observed while they were written."""
+    from pyspark.sql import functions as F
+    res = run_events(spark, sf_dir).store()
+    rows = (res.conformed.select(F.lit("conformed").alias("kind"), "event_id", "event_type", F.col("user_id").cast("string"), F.lit(None).cast("string").alias("reason"))
+            .unionByName(res.dropped.select(F.lit("dropped").alias("kind"), "event_id", "event_type", "user_id", F.col("drop_kind").alias("reason")))
+            .unionByName(res.invalid.select(F.lit("invalid").alias("kind"), F.col("case_number").alias("event_id"), F.col("field_name").alias("event_type"),
+                                            F.col("original_value").alias("user_id"), "reason")))
+    return rows.select("*", *[F.lit(n).alias(k) for k, n in res.counts.items()])

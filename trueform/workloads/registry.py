@@ -23,6 +23,7 @@ _MODULES = (
     "trueform.workloads.reports_q",
     "trueform.workloads.runs_q",
     "trueform.workloads.mission_q",
+    "trueform.workloads.spec_q",
 )
 
 

@@ -153,3 +153,21 @@ def a11_sheet_load(spark, sf_dir):
         "sheet", F.lit(0).cast("bigint").alias("row_no"),
         F.array(F.lit("Input "), F.lit(" Output"), F.lit("Approved")).alias("cells"))
     return MIO.load_sheet_mappings(heads.unionByName(body), CUSTOMER_SPEC)
+
+
+C9_HEADER_SQL = """SELECT n_name AS dataset, 'expect_table_columns_to_match_ordered_list' AS expectation,
+  CASE n_nationkey % 3 WHEN 1 THEN 'Inputs' END AS failed_value, 'Input,Output,Approved' AS expected
+FROM nation WHERE n_nationkey % 3 > 0"""
+
+
+@register("c9_header", C9_HEADER_SQL)
+def c9_header(spark, sf_dir):
+    """C9, first step: mapping files, one a nation, some with a wrong or short header."""
+    root = scratch_path(spark, f"c9-{uuid.uuid4().hex[:12]}")
+    n = table(spark, sf_dir, "nation").withColumn("field", F.col("n_name"))
+    for kind, names in enumerate((("Input", "Output", "Approved"), ("Inputs", "Output", "Approved"), ("Input", "Output"))):
+        cells = [c.alias(x) for c, x in zip((F.lower("n_name"), F.col("n_name"), F.lit("Yes")), names)]
+        (n.where(F.col("n_nationkey") % 3 == kind).select("field", *cells).write.mode("append")
+         .partitionBy("field").option("header", True).csv(root))
+    fails = MIO.header_problems(spark, root)
+    return fails.select("dataset", "expectation", "failed_value", F.array_join("expected_list", ",").alias("expected"))
