@@ -241,18 +241,54 @@ def test_near_duplicates(spark, monkeypatch, shingle, block):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+def plain_units(text, n):
+    lines = [line.lower().split() for line in (text or "").split("\n")]
+    for i in range(len(lines)):
+        for j in range(i, len(lines)):
+            words = [w for line in lines[i:j + 1] for w in line]
+            if lines[i] and len(words) >= n:
+                yield i, j, tuple(words)
+                break
+
+
+def plain_line_dedup(rows, n):
+    """Units compared with all others: those of lesser doc_id, and earlier ones of the same row."""
+    out = []
+    for i, text in rows:
+        if text is None:
+            out.append((i, None, 0, 0))
+            continue
+        mine, gone = list(plain_units(text, n)), set()
+        for at, (a, b, words) in enumerate(mine):
+            before = i is not None and any(words == w for j, t in rows if j is not None and j < i for _, _, w in plain_units(t, n))
+            if before or any(words == w for _, _, w in mine[:at]):
+                gone.update(range(a, b + 1))
+        lines = text.split("\n")
+        out.append((i, "\n".join(line for k, line in enumerate(lines) if k not in gone), len(lines), len(gone)))
+    return out
+
+
 def test_line_dedup(spark):
-    rows = [(3, "One two three four five.\nshort\nshort\nunique line of five words here"), (1, "a line\nONE  two three four five."), (2, None), (5, ""), (3, "one two three four five."),
-            (None, "one two three four five.\none two three four five."), (4, "x y z a b\nx y z a b\nshort")]
-    got = substring.substring_dedup(frame(spark, rows).withColumn("n_lines", F.lit("mine"))).collect()
-    by = {(r.doc_id, r.n_lines): r for r in got}
-    assert len(got) == len(rows)
-    assert by[1, 2].text == rows[1][1] and by[3, 1].text == "" and by[3, 4].text == "short\nshort\nunique line of five words here"
-    assert by[2, 0].text is None and by[5, 1].text == "" and by[4, 3].text == "x y z a b\nshort" and by[None, 2].text == "one two three four five."
-    for r in got:
-        texts = [t for i, t in rows if i == r.doc_id]
-        if r.text is not None and r.text:
-            assert any("\n".join(t[s.start:s.end] for s in r.kept_spans) == r.text for t in texts)
+    rng = random.Random(8)
+    pool = [prose(rng, rng.choice([1, 2, 3, 4, 7])) for _ in range(8)] + ["", " "]
+    rows = [(rng.randrange(30), "\n".join(rng.choice(pool) for _ in range(rng.randrange(14)))) for _ in range(40)]
+    rows += [(3, "One two three four five.\nshort\nshort\nunique line of five words here"), (1, "a line\nONE  two three four five."), (2, None), (5, ""), (50, "x\n" * 20),
+             (None, "one two three four five.\none two three four five."), (4, "x y z a b\n\nx y z a b\nshort"), (60, "\n" * 5), (61, " \t\nx  Y z a b\n")]
+    for n in (5, 13):
+        got = substring.substring_dedup(frame(spark, rows).withColumn("n_lines", F.lit("mine")), n).collect()
+        key = lambda r: (r[0] is None, r[0] or 0, str(r))
+        assert sorted(((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got), key=key) == sorted(plain_line_dedup(rows, n), key=key)
+        for r in got:
+            if r.text:
+                assert any("\n".join(t[s.start:s.end] for s in r.kept_spans) == r.text for i, t in rows if i == r.doc_id and t is not None)
+    assert substring.substring_dedup(frame(spark, [])).count() == 0
+
+
+def test_line_dedup_of_a_long_text(spark):
+    line = "the same fourteen words stand on every line of this text again and again"
+    long = "\n".join([line] * 60_000)  # over a slice
+    got = {r.doc_id: r for r in substring.substring_dedup(frame(spark, [(1, long), (2, "short\n" + line)])).collect()}
+    assert got[1].text == line and got[1].n_removed == 59_999 and got[2].text == "short"
 
 
 def test_language_id(spark):

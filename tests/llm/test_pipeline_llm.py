@@ -38,7 +38,7 @@ def test_pipeline_against_plain_python(spark, tmp_path):
         kept = []
         for line in docs[i].split("\n"):
             unit = " ".join(line.lower().split())
-            if len(unit.split()) < 5 or unit not in seen:
+            if len(unit.split()) < 13 or unit not in seen:
                 kept.append(line)
             seen.add(unit)
         cut[i] = "\n".join(kept)

@@ -116,13 +116,19 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP7_SQL = r"""
-WITH lines AS (SELECT k, doc_id, no, line, trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS unit
-  FROM (SELECT k, doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS no
-        FROM (SELECT row_number() OVER () AS k, doc_id, string_split(text, chr(10)) AS parts FROM documents))),
-placed AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY k ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
-             len(string_split(unit, ' ')) >= 5 AS judged,
-             min(doc_id) OVER (PARTITION BY unit) AS first_doc, row_number() OVER (PARTITION BY unit, k ORDER BY no) AS nth FROM lines),
-kept AS (SELECT *, NOT judged OR (doc_id = first_doc AND nth = 1) AS keep FROM placed)
+WITH docs AS (SELECT row_number() OVER () AS k, doc_id, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (SELECT k, doc_id, no, line, unit, CASE WHEN unit = '' THEN 0 ELSE len(string_split(unit, ' ')) END AS n
+  FROM (SELECT k, doc_id, no, line, trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS unit
+        FROM (SELECT k, doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS no FROM docs))),
+placed AS (SELECT *, coalesce(sum(length(line) + 1) OVER w, 0) AS pos, coalesce(sum(n) OVER w, 0) AS before FROM lines
+           WINDOW w AS (PARTITION BY k ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+texts AS (SELECT k, list(unit ORDER BY no) AS forms FROM lines GROUP BY k),
+ends AS (SELECT a.k, a.doc_id, a.no AS i, b.no AS j FROM (SELECT *, before + 13 AS need FROM placed WHERE n > 0) a
+         ASOF JOIN (SELECT k, no, before + n AS upto FROM placed WHERE n > 0) b ON a.k = b.k AND a.need <= b.upto),
+unit AS (SELECT k, doc_id, i, j, array_to_string(list_filter(forms[i:j], lambda x: x <> ''), ' ') AS words FROM ends JOIN texts USING (k)),
+judged AS (SELECT *, doc_id > min(doc_id) OVER (PARTITION BY words) OR row_number() OVER (PARTITION BY words, k ORDER BY i) > 1 AS later FROM unit),
+gone AS (SELECT DISTINCT k, unnest(range(i, j + 1)) AS no FROM judged WHERE later),
+kept AS (SELECT placed.*, gone.no IS NULL AS keep FROM placed LEFT JOIN gone ON gone.k = placed.k AND gone.no = placed.no)
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (keep), '') AS text,
        coalesce(string_agg(CAST(pos AS BIGINT) || '-' || CAST(pos + length(line) AS BIGINT), ',' ORDER BY no) FILTER (keep), '') AS kept_spans,
        count(*) AS n_lines, count(*) FILTER (NOT keep) AS n_removed

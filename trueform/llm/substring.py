@@ -1,15 +1,20 @@
 """Substring dedup by line hashing.
 
-Texts are cut into lines. Each line's normalised form is digested; the digests
-meet in one grouped aggregation; the occurrence in the document of least id, and
-there the first, stays. All later ones are cut from their texts, and what is
-kept remembers where it stood.
+Texts are cut into lines. A unit is the shortest run of whole lines, from a line
+with words on, that holds at least ``MIN_WORDS`` words: a long line alone, or
+short lines together. Units' normalised forms are digested; the digests meet in
+one grouped aggregation; the occurrence in the document of least id, and there
+the first, stays. The lines of all later ones are cut from their texts, and what
+is kept remembers where it stood.
+
+A short line (heading, list item, refrain) is so never judged alone, as it
+repeats between documents that share nothing else, but as part of the passage
+that it begins, continues or ends.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,41 +23,47 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from trueform.llm.common import saved
 
-MIN_WORDS = 5  # shorter lines (headings, captions) are structure and always stay
-
-_space = re.compile(r"\s+")
-
-
-def line_digests(text: str | None, min_words: int) -> list[tuple[int, int] | None]:
-    """Of each line: 128 bits of its lower-cased, space-folded form; None where it has too few words."""
-    out: list[tuple[int, int] | None] = []
-    for line in (text or "").split("\n"):
-        words = line.lower().split()
-        if len(words) < min_words:
-            out.append(None)
-        else:
-            d = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            out.append((int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
+MIN_WORDS = 13  # words of a unit, as many as a benchmark window has
+
+
+def units(text: str | None, min_words: int) -> list[tuple[int, int, tuple[int, int]]]:
+    """(first line, line behind the last, digest) of each unit: 128 bits of its lower-cased words, one space between."""
+    full = [(i, words) for i, words in enumerate(line.lower().split() for line in (text or "").split("\n")) if words]
+    out = []
+    end, held = 0, 0  # lines full[at:end] hold this many words
+    for at, (first, words) in enumerate(full):
+        while end < len(full) and held < min_words:
+            held += len(full[end][1])
+            end += 1
+        if held < min_words:
+            break
+        joined = " ".join([w for _, part in full[at:end] for w in part])
+        d = hashlib.blake2b(joined.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        out.append((first, full[end - 1][0] + 1, (int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True))))
+        held -= len(words)
     return out
 
 
 def cut_lines(text: str, drop: set[tuple[int, int]], min_words: int) -> tuple[str, list[tuple[int, int]]]:
-    """Text without the dropped lines and without later repeats of its own, and the (start, end) characters kept."""
+    """Text without the lines of dropped units and of later repeats of its own, and the (start, end) characters kept."""
     kept, spans, seen, at = [], [], set(), 0
-    for line, digest in zip(text.split("\n"), line_digests(text, min_words)):
-        if digest is None or (digest not in drop and digest not in seen):
+    gone: set[int] = set()
+    for first, end, digest in units(text, min_words):
+        if digest in drop or digest in seen:
+            gone.update(range(first, end))
+        seen.add(digest)
+    for i, line in enumerate(text.split("\n")):
+        if i not in gone:
             kept.append(line)
             spans.append((at, at + len(line)))
-        if digest is not None:
-            seen.add(digest)
         at += len(line) + 1
     return "\n".join(kept), spans
 
 
 def repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, d1, d2): lines of a document that also stand in one of lesser id, once for each row of it.
+    """(doc_id, d1, d2): units of a document that also stand in one of lesser id, once for each row of it.
 
-    Nothing below the join needs a line's rows together, so AQE may split a common line."""
+    Nothing below the join needs a unit's rows together, so AQE may split a common one."""
     id_type = documents.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType())])
 
@@ -61,7 +72,7 @@ def repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFram
             for at in range(0, whole.num_rows, 500):
                 batch, rows = whole.slice(at, 500), []
                 for i, text in enumerate(batch.column("text").to_pylist()):
-                    rows += [(i, *d) for d in {d for d in line_digests(text, min_words) if d}]
+                    rows += [(i, *d) for d in {d for _, _, d in units(text, min_words)}]
                 table = np.array(rows, dtype=np.int64).reshape(-1, 3)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(table[:, 0])), pa.array(table[:, 1]), pa.array(table[:, 2])], names=schema.names)
 
@@ -75,9 +86,10 @@ def substring_dedup(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     """``documents`` (all its columns) with ``text`` cut, and ``kept_spans``, ``n_lines``, ``n_removed``.
 
     ``kept_spans`` holds (start, end) character offsets in the original text of
-    each line kept. Lines are equal when their words are, whatever their case
-    and spacing; lines of fewer than ``min_words`` words always stay. Null text
-    stays null without lines; empty text is one empty line. Rows of one doc_id
+    each line kept. Units are equal when their words are, whatever their case and
+    spacing; a line goes if any unit that holds it stands earlier, as does a blank
+    line inside such a unit. A line that is in no unit (the document ends before
+    ``min_words`` words) always stays. Null text stays null without lines; empty text is one empty line. Rows of one doc_id
     are one document for each other: only repeats of earlier documents and
     within a row go. Rows of null doc_id lose only their own repeats. A column
     named like an added one gives way to it.
