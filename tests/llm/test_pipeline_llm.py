@@ -75,5 +75,21 @@ def test_language_stage_drops_ambiguous_and_random_text(spark):
 def test_language_stage_keeps_ambiguous_text_of_inseparable_labels(spark):
     rng = random.Random(10)
     docs = spark.createDataFrame([(i, prose(rng, 30), "en" if i % 2 else "de", "s", 0) for i in range(80)], "doc_id long, text string, lang string, source string, n_chars long")
-    with pytest.warns(UserWarning, match="ambiguous documents stay"):
-        assert corpus_pipeline.language(spark, docs, "").count() == 80
+    assert corpus_pipeline.language(spark, docs, "").count() == 80
+    check = langid.flag_check(docs, langid.train(docs.filter(~langid.held_out()))).first()
+    assert check.flagged > check.known / 2 and check.least_loss > langid.CLEAN_LOSS and not check.believed
+
+
+def test_one_flag_among_few_documents_does_not_undo_the_rule(spark):
+    """1 of 21 held-out documents: its interval reaches down to 0.8 %, so the flag is believed; 3 of 21 is too many."""
+    for flagged, believed in ((0, True), (1, True), (3, False)):
+        n, p, z = 21, flagged / 21, langid.Z95
+        low = max((p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n), 0)
+        assert (low <= langid.CLEAN_LOSS) == believed
+
+
+def test_pipeline_stages_drop_emptied_documents(spark):
+    line = "fourteen words that stand on a line of their own in both of these texts"
+    docs = spark.createDataFrame([(1, line, "en", "s", 0), (2, line, "en", "s", 0), (3, line + "\nmore", "en", "s", 0), (4, " \n ", "en", "s", 0)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id: r.text for r in corpus_pipeline.repeated_lines(spark, docs, "").collect()} == {1: line, 3: "more"}

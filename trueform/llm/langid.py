@@ -23,6 +23,7 @@ BUCKET_BITS = 14
 UNDETERMINED = "und"
 LEAD = 0.2  # a score lead below it is ambiguous
 SUPPORT = 0.4  # so is a text whose weakest bit speaks for the language by less than this mean log odds a trigram
+Z95 = 1.96  # standard deviations of a 95 % interval
 CLEAN_LOSS = 0.01  # share of labelled held-out documents beyond which the flag says more about the model than about a text
 
 
@@ -145,12 +146,21 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
     return documents.select(*[f.name for f in own]).mapInArrow(predict, schema)
 
 
-def flagged_held_out(documents: DataFrame, model: LanguageModel) -> tuple[int, int]:
-    """(flagged as ambiguous, all) of the held-out documents with a label and a letter."""
+def flag_check(documents: DataFrame, model: LanguageModel, clean_loss: float = CLEAN_LOSS) -> DataFrame:
+    """One row: flagged (as ambiguous) and known of the held-out documents with a label and a letter, least_loss, believed.
+
+    ``least_loss`` is the lower end of the 95 % (Wilson) interval of the share of
+    clean documents that the flag takes. The flag is believed unless that end
+    lies above ``clean_loss``: then the labels themselves cannot be told apart.
+    The rule is the same at every size; few documents alone disprove nothing.
+    """
     known = documents.filter(held_out() & F.col("lang").isNotNull()).select("text")
-    row = identify(known, model).filter(F.col("lang_pred") != UNDETERMINED).agg(
-        F.count_if("lang_ambiguous").alias("flagged"), F.count("*").alias("n")).first()
-    return row["flagged"], row["n"]
+    counts = identify(known, model).filter(F.col("lang_pred") != UNDETERMINED).agg(
+        F.count_if("lang_ambiguous").alias("flagged"), F.count("*").alias("known"))
+    n, p = F.col("known"), F.col("flagged") / F.col("known")
+    low = (p + Z95 ** 2 / (2 * n) - Z95 * F.sqrt(p * (1 - p) / n + Z95 ** 2 / (4 * n * n))) / (1 + Z95 ** 2 / n)
+    counts = counts.withColumn("least_loss", F.when(n > 0, F.greatest(low, F.lit(0.0))).otherwise(F.lit(0.0)))
+    return counts.withColumn("believed", F.col("least_loss") <= F.lit(clean_loss))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

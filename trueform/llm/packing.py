@@ -8,8 +8,8 @@ the open window with the least remaining capacity that still holds it.
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,14 +26,16 @@ CACHE_ENTRIES = 600_000  # words remembered by a Python worker
 MARK, MARK_ID = "<|startoftext|>", 49406  # the vocabulary's own mark, put between words that are encoded together
 
 
+_letters_first = re.compile(r"([^\W\d_]+)([!-@\[-`{-~][!-~]*)")
+
+
 class WordEncoder:
-    """Token ids (little-endian uint32 bytes) of texts, word by word.
+    """Token ids (little-endian bytes, see ``kind``) of texts, word by word.
 
     The vocabulary drops white space and never joins tokens across it, so a
     text's ids are those of its space-separated words in turn. Words are
-    remembered up to a bound; new ones are encoded together, with the
-    vocabulary's own start mark between them. A plain lower-case word is
-    remembered once for all its capital and punctuated forms.
+    remembered up to a bound; new ones are encoded together. A word's letters in
+    lower case are remembered once for all its capital and punctuated forms.
     """
 
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
@@ -41,54 +43,70 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.model, self.entries = Tokenizer.from_file(path), entries
+        self.kind = np.dtype("<u2" if self.model.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")  # holds every id
+        self.last = np.zeros(self.model.get_vocab_size(with_added_tokens=True), dtype=bool)
+        self.last[[i for t, i in self.model.get_vocab().items() if t.endswith("</w>")]] = True  # tokens that end a run
         self.known: dict[str, bytes] = {"": b""}
-        self.dots = {d: self._whole(d) for d in (".", ",")}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+
+    def _cut(self, joined: list[str], words: int, last: np.ndarray | None) -> list[bytes] | None:
+        """Ids of words that were joined: each ends with a ``last`` token, or before the mark; None if they don't add up."""
+        found = self.model.encode_batch_fast(joined, add_special_tokens=False)
+        ids = np.array([i for e in found for i in e.ids], dtype=self.kind)
+        size, data = self.kind.itemsize, ids.tobytes()
+        if last is None:
+            cuts = np.flatnonzero(ids == MARK_ID)
+            starts, ends = np.append(0, cuts + 1), np.append(cuts, len(ids))
+        else:
+            ends = np.flatnonzero(last[ids]) + 1
+            starts = np.append(0, ends[:-1])
+        if len(ends) != words:
+            return None
+        return [data[a:b] for a, b in zip((starts * size).tolist(), (ends * size).tolist())]
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        odd = {w: self._whole(w) for w in words if "<|" in w}
-        plain = [w for w in words if w not in odd]
-        ids = np.array(self.model.encode_batch_fast([MARK.join(plain)], add_special_tokens=False)[0].ids, dtype="<u4") if plain else np.zeros(0, "<u4")
-        cuts = np.flatnonzero(ids == MARK_ID)
-        if plain and len(cuts) != len(plain) - 1:
-            return [self._whole(w) for w in words]
-        data = ids.tobytes()
-        bounds = [0, *((cuts + 1) * 4).tolist(), len(data) + 4]
-        found = {w: data[bounds[i]:bounds[i + 1] - 4] for i, w in enumerate(plain)} | odd
-        return [found[w] for w in words]
-
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """Remembers the ids of new words while there is room; else returns them."""
-        bases: dict[str, tuple[str, str]] = {}
-        for w in words:
-            base, dot = (w[:-1], w[-1]) if w[-1] in self.dots else (w, "")
-            # one-to-one lower case and no composition: safe up to Latin Extended-B, but for dotted capital I
-            bases[w] = (base.lower(), dot) if base.isalpha() and max(base) < "ɐ" and "İ" not in base else (w, "")
-        new = [b for b in {b for b, _ in bases.values()} if b not in self.known]
-        fresh: dict[str, bytes] = {}
-        for i in range(0, len(new), 1000):
-            part = new[i:i + 1000]
-            fresh.update(zip(part, self._encode(part)))
-        out = {}
-        for w, (base, dot) in bases.items():
-            ids = fresh.get(base)
-            out[w] = (self.known[base] if ids is None else ids) + (self.dots[dot] if dot else b"")
-        if len(self.known) < self.entries:
-            self.known.update(fresh)
-            self.known.update(out)
-            return {}
-        return out
+        """Words of letters are one run of tokens each and are joined by spaces; others have the mark between them."""
+        letters = [w for w in words if w.isalpha()]
+        marked = [w for w in words if not w.isalpha() and "<|" not in w]
+        out: dict[str, bytes] = {}
+        for group, joined, last in ((letters, [" ".join(letters[i:i + 100]) for i in range(0, len(letters), 100)], self.last), (marked, [MARK.join(marked)], None)):
+            ids = self._cut(joined, len(group), last) if group else []
+            out.update(zip(group, [self._whole(w) for w in group] if ids is None else ids))
+        return [out[w] if w in out else self._whole(w) for w in words]
+
+    def _parts(self, word: str) -> tuple[str, str]:
+        """A word as its first letters, lower-cased, and an ASCII rest: the vocabulary never joins the two."""
+        if word.isascii() and word.isalpha():
+            return word.lower(), ""
+        cut = None if "<|" in word else _letters_first.fullmatch(word)
+        base, rest = cut.groups() if cut else (word, "")
+        # one-to-one lower case and no composition: safe up to Latin Extended-B, but for dotted capital I
+        return (base.lower(), rest) if base.isalpha() and max(base) < "ɐ" and "İ" not in base else (word, "")
+
+    def learn(self, words: set[str]) -> list[str]:
+        """Adds the ids of new words; returns what goes beyond the bound and is to be forgotten after use."""
+        known, room = self.known, max(self.entries - len(self.known), 0)
+        parts = {w: self._parts(w) for w in words}
+        fresh = list({p for both in parts.values() for p in both}.difference(known))
+        for i in range(0, len(fresh), 1000):
+            part = fresh[i:i + 1000]
+            known.update(zip(part, self._encode(part)))
+        known.update([(w, known[base] + known[rest]) for w, (base, rest) in parts.items()])
+        return list(dict.fromkeys([*fresh, *parts]))[room:]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
         new = set().union(*split).difference(self.known)
-        rest = self.learn(new) if new else {}
-        look = ChainMap(self.known, rest) if rest else self.known
-        get = look.__getitem__
-        for words in split:
-            yield b"".join(map(get, words))
+        beyond = self.learn(new) if new else []
+        get = self.known.__getitem__
+        try:
+            for words in split:
+                yield b"".join(map(get, words))
+        finally:
+            for w in beyond:
+                del self.known[w]
 
 
 @lru_cache(maxsize=1)
@@ -153,51 +171,44 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return where, offsets
 
 
-def id_planes(ids: bytes) -> bytes:
-    """The lowest bytes of all ids, then the next ones: rows of it compress well on their way through a shuffle."""
-    return np.frombuffer(ids, np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def ids_of_planes(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-
-
 def token_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
                  with_ids: bool = False) -> DataFrame:
     """Pieces of every document: full windows, then the rest. One row a piece.
 
-    Columns: doc_id, start, length, ids_crc32, doc_tokens, row_key (of the
-    document's row), and planes if ids are asked for (see ``id_planes``). Null
-    text is the end id alone, null or repeated doc_id is carried as it is: each
+    Columns: doc_id, start, length, doc_tokens, row_key (of the document's row) and,
+    if ids are asked for, narrow_ids (little-endian, two bytes an id where the
+    vocabulary allows it, else four) and id_bytes, else ids_crc32. Null text is the end id alone, null or repeated doc_id is carried as it is: each
     row is a document. Other columns are ignored.
     """
-    end = np.array([end_id], dtype="<u4").tobytes()
     fields = [T.StructField("doc_id", documents.schema["doc_id"].dataType)] + [
-        T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens", "row_key")]
+        T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens", "row_key", "id_bytes" if with_ids else "ids_crc32")]
     if with_ids:
-        fields.append(T.StructField("planes", T.BinaryType()))
+        fields.append(T.StructField("narrow_ids", T.BinaryType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, number = word_encoder(tokenizer_path), TaskContext.get().partitionId() << 40
-        step = 4 * capacity
+        size = encoder.kind.itemsize
+        end, step = np.array([end_id], dtype=encoder.kind).tobytes(), size * capacity
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                rows, starts, lengths, sums, totals, keys, ids = [], [], [], [], [], [], []
+                rows, starts, lengths, totals, keys, last, ids = [], [], [], [], [], [], []
                 for i, data in enumerate(encoder.encode(batch.column("text").to_pylist())):
                     data += end
                     for s in range(0, len(data), step):
                         piece = data[s:s + step]
                         rows.append(i)
-                        starts.append(s // 4)
-                        lengths.append(len(piece) // 4)
-                        sums.append(zlib.crc32(piece))
-                        totals.append(len(data) // 4)
+                        starts.append(s // size)
+                        lengths.append(len(piece) // size)
+                        totals.append(len(data) // size)
                         keys.append(number)
                         if with_ids:
-                            ids.append(id_planes(piece))
+                            last.append(size)
+                            ids.append(piece)
+                        else:
+                            last.append(zlib.crc32(np.frombuffer(piece, encoder.kind).astype("<u4")))
                     number += 1
-                out = [batch.column("doc_id").take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals, keys))]
+                out = [batch.column("doc_id").take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts, lengths, totals, keys, last))]
                 yield pa.RecordBatch.from_arrays(out + ([pa.array(ids, pa.binary())] if with_ids else []), names=[f.name for f in fields])
 
     return documents.select("doc_id", "text").mapInArrow(cut, T.StructType(fields))
@@ -238,7 +249,7 @@ def sequences(packed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0) -> D
 
 
 def pack_sequences(pieces: DataFrame, shards: int, capacity: int = CAPACITY, pad_id: int = 0) -> DataFrame:
-    """Sequences of pieces with planes: sequence_id, ids, n_tokens, pieces (what stands where).
+    """Sequences of pieces with narrow_ids: sequence_id, ids, n_tokens, pieces (what stands where).
 
     ids are the padded token ids as little-endian uint32 bytes (``np.frombuffer(ids, "<u4")``).
 
@@ -259,8 +270,9 @@ def pack_sequences(pieces: DataFrame, shards: int, capacity: int = CAPACITY, pad
         tokens = np.add.reduceat(lengths, firsts)
         ends = np.concatenate([[0], np.cumsum(np.where(tokens & (tokens - 1) == 0, tokens, capacity))])
         ids = np.full(ends[-1], pad_id, "<u4")
-        for planes, at, n in zip(shard.column("planes"), (ends[where] + offsets).tolist(), lengths.tolist()):
-            ids[at:at + n] = ids_of_planes(planes.as_py())
+        narrow = b"".join(shard.column("narrow_ids").to_pylist())
+        narrow = np.frombuffer(narrow, "<u2" if shard.column("id_bytes")[0].as_py() == 2 else "<u4")
+        ids[np.arange(len(narrow)) + np.repeat(ends[where] + offsets - np.cumsum(lengths) + lengths, lengths)] = narrow
         parts = [shard.column(n).combine_chunks() for n in ("doc_id", "start", "length", "doc_tokens")] + [pa.array(offsets)]
         parts = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in parts]
         return pa.table({
@@ -269,7 +281,7 @@ def pack_sequences(pieces: DataFrame, shards: int, capacity: int = CAPACITY, pad
             "n_tokens": pa.array(tokens), "pieces": pa.ListArray.from_arrays(
                 pa.array(np.append(firsts, len(where)).astype(np.int32)), pa.StructArray.from_arrays(parts, names=part.names))})
 
-    dealt = pieces.select("doc_id", "start", "length", "doc_tokens", "row_key", "planes",
+    dealt = pieces.select("doc_id", "start", "length", "doc_tokens", "row_key", "id_bytes", "narrow_ids",
                           F.pmod(F.xxhash64("row_key", "start"), F.lit(shards)).alias("__shard"))
     return dealt.groupBy("__shard").applyInArrow(build, schema)
 
