@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trueform.llm import decontaminate, langid, minhash, packing, substring
@@ -16,18 +14,16 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a determinable language: no letter, or ambiguous (random letters, mixed languages).
 
-    The ambiguity flag is checked on labelled documents the model never saw. If
-    it would drop more than ``langid.CLEAN_LOSS`` of them, or there are none, the
-    languages as labelled cannot be told apart and only ``und`` is dropped, with a
-    warning.
+    The ambiguity flag is held against labelled documents the model never saw
+    (``langid.flag_check``): unless these show, at 95 % confidence, that it takes
+    more than ``langid.CLEAN_LOSS`` of clean documents, flagged documents go. The
+    counts and the decision are saved beside the stages as table ``language-check``.
     """
     model = langid.train(docs.filter(~langid.held_out()))
+    check = saved(langid.flag_check(docs, model), "language-check")
     found = langid.identify(docs, model).filter(F.col("lang_pred") != langid.UNDETERMINED)
-    flagged, known = langid.flagged_held_out(docs, model)
-    if known and flagged <= langid.CLEAN_LOSS * known:
+    if check.first()["believed"]:
         found = found.filter(~F.col("lang_ambiguous"))
-    else:
-        warnings.warn(f"language: {flagged} of {known} held-out documents are ambiguous; ambiguous documents stay")
     return found.select(*COLUMNS)
 
 
@@ -38,8 +34,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts lines that stand in an earlier document or earlier in the same one."""
-    return substring.substring_dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    """Cuts lines that stand in an earlier document or earlier in the same one; documents left without a word go."""
+    cut = substring.substring_dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return cut.filter(F.col("text").rlike(r"\S"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
