@@ -80,7 +80,7 @@ class WordEncoder:
         """A word as its first letters, lower-cased, and an ASCII rest: the vocabulary never joins the two."""
         if word.isascii() and word.isalpha():
             return word.lower(), ""
-        cut = None if "<|" in word else _letters_first.fullmatch(word)
+        cut = None if word.isalpha() or "<|" in word else _letters_first.fullmatch(word)
         base, rest = cut.groups() if cut else (word, "")
         # one-to-one lower case and no composition: safe up to Latin Extended-B, but for dotted capital I
         return (base.lower(), rest) if base.isalpha() and max(base) < "ɐ" and "İ" not in base else (word, "")
@@ -190,8 +190,8 @@ def token_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPA
         size = encoder.kind.itemsize
         end, step = np.array([end_id], dtype=encoder.kind).tobytes(), size * capacity
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
                 rows, starts, lengths, totals, keys, last, ids = [], [], [], [], [], [], []
                 for i, data in enumerate(encoder.encode(batch.column("text").to_pylist())):
                     data += end
