@@ -51,7 +51,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         path = tempfile.mkdtemp(prefix="trueform-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
