@@ -26,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         path = tempfile.mkdtemp(prefix="trueform-llm-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        spark.sparkContext.setCheckpointDir(path)  # the setting itself can't change in a running session; the context keeps the folder
     return path
 
 
