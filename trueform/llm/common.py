@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 SLICE_BYTES = 2 << 20  # text bytes handled by one vectorised step
+BATCH_BYTES = 8 << 20  # bytes of rows sent to a Python worker at once; Spark's own bound is a number of rows, whatever their texts
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,6 +39,30 @@ def on_path(spark: SparkSession) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the batches that Python workers get by bytes, so long texts don't pile up on either side of the pipe."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def lean(step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``step`` of ``mapInArrow`` that gives freed memory back when its task ends.
+
+    Workers stay for later tasks; what their allocators hold on to would count
+    against the executor while other stages run.
+    """
+    @functools.wraps(step)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from step(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return run
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 

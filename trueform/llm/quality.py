@@ -16,11 +16,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from trueform.llm.common import byte_slices, flat_text, saved
+from trueform.llm.common import byte_slices, flat_text, lean, saved, small_batches
 from trueform.llm.textbytes import Hashed, U, lower_ascii, mix, runs
 
 BUCKET_BITS = 18
 FIT_ROWS = 20_000  # labelled documents the word evidence is learned from, taken by hash of doc_id
+FIT_TASKS = 16  # tasks that read them; each puts out one row a bucket it saw
 CHOSEN, LEAST_Z = 4000, 3.0  # buckets a target uses at most, and how many standard errors each stands out by
 RIDGE, STEPS = 1e-4, 300
 PREFIXES = (3, 4, 5, 6, 7, 8, 9)  # bytes; unwanted words often share a beginning
@@ -90,7 +91,7 @@ def choose_buckets(labelled: DataFrame, targets: tuple[str, ...]) -> dict[str, n
         yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(table[c, at].astype(np.int64)) for c in range(len(cells)))], names=["bucket", *cells])
 
     schema = "bucket long, " + ", ".join(f"`{c}` long" for c in cells)
-    grouped = saved(labelled.select("text", *targets).mapInArrow(count, schema).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in cells]), "buckets")
+    grouped = saved(labelled.select("text", *targets).mapInArrow(lean(count), schema).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in cells]), "buckets")
     totals = grouped.filter(F.col("bucket") == 1 << BUCKET_BITS).first()
     out = {}
     for t in targets:
@@ -126,7 +127,7 @@ def learn(labelled: DataFrame, targets: tuple[str, ...]) -> dict[str, Evidence]:
                      pa.ListArray.from_arrays(pa.array(bounds), pa.array(value.astype(np.float32)))], names=[*targets, "bucket", "value"])
 
     schema = T.StructType([T.StructField(t, T.IntegerType()) for t in targets] + [T.StructField("bucket", T.ArrayType(T.IntegerType())), T.StructField("value", T.ArrayType(T.FloatType()))])
-    sample = labelled.select("text", *targets).mapInArrow(rows, schema).toArrow()
+    sample = labelled.select("text", *targets).mapInArrow(lean(rows), schema).toArrow()
     sizes = np.asarray(pc.list_value_length(sample.column("bucket")))
     row = np.repeat(np.arange(len(sizes)), sizes)
     bucket, value = (np.asarray(pc.list_flatten(sample.column(c)).combine_chunks()) for c in ("bucket", "value"))
@@ -205,7 +206,7 @@ def evidence_scores(documents: DataFrame, models: dict[str, Evidence]) -> DataFr
                 found = counted(batch.column("text"), wanted)
                 yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in own] + [pa.array(m(*found, batch.num_rows)) for m in models.values()], names=schema.names)
 
-    return documents.select(*[f.name for f in own]).mapInArrow(score, schema)
+    return documents.select(*[f.name for f in own]).mapInArrow(lean(score), schema)
 
 
 def classify(documents: DataFrame, labels: DataFrame, targets: tuple[str, ...] = ("quality", "toxic"),
@@ -221,13 +222,14 @@ def classify(documents: DataFrame, labels: DataFrame, targets: tuple[str, ...] =
     repeated doc_ids are rows of the result; other columns are ignored. The
     documents have no path: ``lang`` stands in for it unless ``path`` names one.
     """
+    small_batches(documents.sparkSession)
     docs = documents.select("doc_id", "text", F.col(host).alias("host"), F.col(path).alias("path"))
     one = saved(labels.filter("doc_id is not null").groupBy("doc_id").agg(*[F.max(t).alias(t) for t in targets]), "labels")
     sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)  # a documented bound, so it may be broadcast
     fit = saved(docs.filter("text is not null").select("doc_id", "text").join(F.broadcast(sample), "doc_id")
                 .select("text", *[F.when(F.col(t).isin(0, 1), F.col(t).cast("int")).alias(t) for t in targets]), "fit")
     places = saved(docs.select("doc_id", "host", "path").join(one, "doc_id"), "places")
-    scored = evidence_scores(docs.select("doc_id", "host", "path", "text"), learn(fit, targets)).drop("text")
+    scored = evidence_scores(docs.select("doc_id", "host", "path", "text"), learn(fit.coalesce(FIT_TASKS), targets)).drop("text")
     for t in targets:
         hosts, paths, rate = site_rates(places, t, "host", "path")
         hosts, paths = hosts.select(F.col("host").alias("h1"), "host_rate"), paths.select(F.col("host").alias("h2"), F.col("path").alias("p2"), "path_rate")
