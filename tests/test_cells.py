@@ -57,6 +57,32 @@ def test_lenient_dates_month_first(spark):
     assert got[6] == (None, "soon is not a valid date")
 
 
+def test_dates_word_by_word(spark):
+    f = SPEC.field("DateOfBirth")
+    day = dt.date(2019, 3, 5)
+    forms = ["5-Mar-2019", "20190305", "March 3rd, 2019", "Tue, 5 Mar 2019", "Sept 5, 2019", "Mar-05-2019",
+             "2019 Mar 5", "5 MARCH 19", "3.5.19", "190305", "Tuesday the 5 Mar 2019", "the 5th of March 2019",
+             "5th of March, 2019", "5 Mar 2019 10:15 PM", "Mar 2019 5", "5 2019 Mar", "05mar2019"]
+    got = [g[0] for g in conform(spark, f, forms)]
+    assert got == [day, day, dt.date(2019, 3, 3), day, dt.date(2019, 9, 5), day, day, day, day, day, None, None,
+                   day, day, day, day, day]
+
+
+def test_words_that_are_no_date(spark):
+    f = SPEC.field("DateOfBirth")
+    bad = ["March 2019", "5 Mar", "Feb 30, 2019", "20191305", "5 Mar May 2019", "1 2 3 4", "99999999999999", "12", "5-Foo-2019",
+           "x", "mar", "0 Mar 2019", "-5 Mar 2019", "32/32/2019", "1" * 4000, "5 Mar 2019 \u00e9"]
+    assert conform(spark, f, bad) == [(None, f"{v} is not a valid date") for v in bad]
+
+
+def test_named_and_plain_dates_agree(spark):
+    f = SPEC.field("DateOfBirth")
+    values = ["5-Mar-2019", "1/5/1956", "Mar-05-2019", "soon", "2019-03-05T10:15:00", "30 Feb 2019"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    rows = df.select(cells.cast(F.col("v"), f)[0].alias("a"), cells.cast_named("v", f)[0].alias("b")).collect()
+    assert all(r.a == r.b for r in rows) and sum(r.a is None for r in rows) == 2
+
+
 def test_boolean_tokens(spark):
     f = SPEC.field("ConvictedInLastYear")
     got = conform(spark, f, ["yes", "Y", "FALSE", "1.0", "2", "3", "t"])

@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trueform.functions.dates import lenient_date, lenient_date_sql
+from trueform.functions.dates import lenient_date, lenient_date_sql, token_date
 from trueform.functions.states import state_code
 from trueform.plans.spec import FieldSpec
 
@@ -405,7 +405,7 @@ def cast_named(name: str, field: FieldSpec) -> Pair:
     """:func:`cast` of a named (staged) column; dates parse as one SQL expression."""
     x = F.col(name)
     if field.type == "date":
-        val = F.expr(lenient_date_sql(name))
+        val = F.coalesce(F.expr(lenient_date_sql(name)), token_date(x))
         return val, F.when(val.isNull(), F.concat(x, F.lit(" is not a valid date")))
     return cast(x, field)
 

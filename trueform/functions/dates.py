@@ -49,12 +49,72 @@ def _two_digit_year(x: Column) -> Column:
     return F.when(x.rlike(_TWO_DIGIT_YEAR), F.try_to_date(text, "yyyy-M-d"))
 
 
+# Month names, and words that may stand in a date without saying anything about it.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august",
+          "september", "october", "november", "december")
+WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+FILLERS = ("st", "nd", "rd", "th", "of", "on", "at", "and", "ad")
+
+_TIME_OF_DAY = r"[t ,]+\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?( ?[ap]m)?( ?(z|utc|gmt|[+-]\d{2}:?\d{2}))?$"
+_DATE_WORDS = r"^[a-z0-9][a-z0-9 ,./;'-]*\d[a-z0-9 ,./;'-]*$|^\d{6}$|^\d{8}$"
+
+
+def _full_year(n: Column) -> Column:
+    """A year under 100 is the one that ends so within 50 years of the current year."""
+    recent = n + 2000
+    return F.when(n >= 100, n).when(recent >= F.year(F.current_date()) + 50, recent - 100).otherwise(recent)
+
+
+def _resolve(p: Column) -> Column:
+    """Date of three tokens: numbers as they are, month names as negative months.
+
+    A number over 31 is a year. A named month leaves a day and a year: the year
+    is the number over 31, else the last one (the first one if the name comes
+    last). Three numbers read year-month-day if the first is a year,
+    day-month-year if it can't be a month, else month-day-year.
+    """
+    a, b, c = p[0], p[1], p[2]
+    order = lambda y, m, d: F.struct(y.alias("y"), m.alias("m"), d.alias("d"))
+    picked = (F.when(a < 0, F.when(b > 31, order(b, -a, c)).otherwise(order(c, -a, b)))
+              .when(b < 0, F.when(a > 31, order(a, -b, c)).otherwise(order(c, -b, a)))
+              .when(c < 0, F.when(b > 31, order(b, -c, a)).otherwise(order(a, -c, b)))
+              .when(a > 31, order(a, b, c)).when(a > 12, order(c, b, a)).otherwise(order(c, a, b)))
+    digits = F.concat_ws("-", F.lpad(_full_year(picked["y"]).cast("string"), 4, "0"), picked["m"], picked["d"])
+    return F.when((picked["m"] > 0) & (picked["d"] > 0) & (picked["y"] <= 9999), F.try_to_date(digits, "yyyy-M-d"))
+
+
+def token_date(x: Column) -> Column:
+    """Date of free-form text: words and numbers in any usual order, in any punctuation.
+
+    Weekdays, ordinal endings, fillers and a time of day at the end say nothing
+    and go. A run of 8 digits is year, month, day, one of 6 the same with a
+    two-digit year. What is left must be a day, a month and a year, each once;
+    text that lacks one, or holds another word, is no date (null).
+    """
+    s = F.regexp_replace(F.lower(F.btrim(x)), _TIME_OF_DAY, "")
+    months = F.create_map(*[F.lit(v) for i, name in enumerate(MONTHS, 1)
+                            for word in dict.fromkeys((name, name[:3], *(("sept",) if i == 9 else ()))) for v in (word, -i)])
+    silent = [*WEEKDAYS, *(w[:3] for w in WEEKDAYS), *FILLERS]
+    words = F.filter(F.regexp_extract_all(s, F.lit("([a-z]+|[0-9]+)"), 1), lambda w: ~w.isin(silent))
+    spread = F.when((F.size(words) == 1) & words[0].rlike(r"^(\d{6}|\d{8})$"), F.array(
+        F.substring_index(F.regexp_replace(words[0], r"^(\d+)(\d\d)(\d\d)$", "$1-$2-$3"), "-", 1),
+        F.regexp_extract(words[0], r"(\d\d)\d\d$", 1), F.regexp_extract(words[0], r"(\d\d)$", 1)))
+    run = F.transform(F.array(spread), lambda p: F.when(p.isNotNull(), F.try_to_date(F.concat_ws(
+        "-", F.lpad(_full_year(p[0].cast("int")).cast("string"), 4, "0"), p[1], p[2]), "yyyy-MM-dd")))[0]
+    parts = F.transform(words, lambda w: F.coalesce(F.try_element_at(months, w), w.try_cast("int")))
+    named = F.size(F.filter(parts, lambda n: n < 0))
+    whole = (F.size(parts) == 3) & ~F.exists(parts, lambda n: n.isNull()) & (named <= 1)
+    three = F.transform(F.array(F.when(whole, parts)), lambda p: F.when(p.isNotNull(), _resolve(p)))[0]
+    return F.when(s.rlike(_DATE_WORDS), F.coalesce(run, three))
+
+
 def lenient_date(x: Column) -> Column:
-    """first layout that parses wins; ISO timestamps give their date."""
+    """first layout that parses wins; ISO timestamps give their date; other text is read word by word (:func:`token_date`)."""
     s = F.btrim(x)
     tries = [F.when(s.rlike(shape), F.try_to_date(s, fmt)) for fmt, shape in DATE_FORMATS]
     tries.append(_two_digit_year(s))
     tries.append(F.when(s.rlike(_ISO_TS), F.to_date(F.try_to_timestamp(s))))
+    tries.append(token_date(s))
     return F.coalesce(*tries)
 
 
@@ -67,7 +127,7 @@ def _sql_regex(p: str) -> str:
 
 
 def lenient_date_sql(name: str) -> str:
-    """:func:`lenient_date` of a named column as one SQL expression (same layouts)."""
+    """The fixed layouts of :func:`lenient_date` of a named column as one SQL expression."""
     s = f"btrim({_q(name)})"
     tries = [f"CASE WHEN {s} RLIKE {_sql_regex(shape)} THEN try_to_date({s}, '{fmt}') END"
              for fmt, shape in DATE_FORMATS]

@@ -311,6 +311,32 @@ def f11_date(spark, sf_dir):
     return d.select("o_orderkey", v.alias("value"), r.alias("reason"))
 
 
+# dates written word by word; the oracle knows the day and needs no parser ---------------
+DATE_FORMS = (  # (Spark pattern, DuckDB format) of the same text
+    ("d-MMM-yyyy", "%-d-%b-%Y"), ("yyyyMMdd", "%Y%m%d"), ("MMMM d'th', yyyy", "%B %-dth, %Y"), ("EEE, d MMM yyyy", "%a, %-d %b %Y"),
+    ("MMM-dd-yyyy", "%b-%d-%Y"), ("yyyy MMM d", "%Y %b %-d"), ("d MMMM yyyy HH:mm", "%-d %B %Y %H:%M"), ("M.d.yy", "%-m.%-d.%y"),
+    ("MMMM yyyy", "%B %Y"), ("'Feb 30, 'yyyy", "Feb 30, %Y"))
+NO_DATES = 2  # the last forms name no day
+
+
+def _date_forms_sql() -> str:
+    texts = " ".join(f"WHEN {i} THEN strftime(o_orderdate, '{f}')" for i, (_, f) in enumerate(DATE_FORMS))
+    return f"""WITH t AS (SELECT o_orderkey, o_orderkey % {len(DATE_FORMS)} AS form, o_orderdate,
+  CASE o_orderkey % {len(DATE_FORMS)} {texts} END AS raw FROM orders)
+SELECT o_orderkey, raw, CASE WHEN form < {len(DATE_FORMS) - NO_DATES} THEN CAST(o_orderdate AS DATE) END AS value,
+  CASE WHEN form >= {len(DATE_FORMS) - NO_DATES} THEN concat(raw, ' is not a valid date') END AS reason FROM t"""
+
+
+@register("f11_date_forms", _date_forms_sql())
+def f11_date_forms(spark, sf_dir):
+    """Order dates written in ten forms, read back as cells of a date field."""
+    form = F.col("o_orderkey") % len(DATE_FORMS)
+    raw = F.coalesce(*[F.when(form == i, F.date_format("o_orderdate", p)) for i, (p, _) in enumerate(DATE_FORMS)])
+    d = table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
+    v, r = cells.conform_cell(F.col("raw"), DATE_FIELD)
+    return d.select("o_orderkey", "raw", v.alias("value"), r.alias("reason"))
+
+
 # multi-value cells ----------------------------------------------------------------------
 _TYPE_CI = ("CASE lower(x) WHEN 'economy' THEN 1 WHEN 'large' THEN 2 WHEN 'medium' THEN 3 "
             "WHEN 'promo' THEN 4 WHEN 'small' THEN 5 WHEN 'standard' THEN 6 END")
