@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from trueform.llm.common import byte_slices, flat_text, list_array, saved
+from trueform.llm.common import byte_slices, flat_text, lean, list_array, saved, small_batches
 from trueform.llm.components import connected_components
 from trueform.llm.textbytes import Hashed, U, lower_ascii, mix, runs, shingles
 
@@ -77,7 +77,7 @@ def signatures(documents: DataFrame, shingle: int = SHINGLE, coordinates: int =
                     [batch.column("doc_id"), pa.array(counts, pa.int64()), *(pa.array(d.view(np.int64)) for d in digest),
                      list_array(sig[full].ravel(), np.concatenate([[0], np.cumsum(sizes)]), pa.int32())], names=schema.names)
 
-    return documents.select("doc_id", "text").mapInArrow(sign, schema)
+    return documents.select("doc_id", "text").mapInArrow(lean(sign), schema)
 
 
 def shingle_sets(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -90,7 +90,7 @@ def shingle_sets(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 flat, offsets = _shingle_rows(batch.column("text"), shingle)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), list_array(flat.view(np.int64), offsets, pa.int64())], names=schema.names)
 
-    return documents.select("doc_id", "text").mapInArrow(gather, schema)
+    return documents.select("doc_id", "text").mapInArrow(lean(gather), schema)
 
 
 def postings(representatives: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -189,6 +189,7 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, threshold: int
     then doc_id). Rows that share a doc_id are one node with the links of each.
     Repeated rows are rows of the result; other columns are ignored.
     """
+    small_batches(documents.sparkSession)
     base = saved(signatures(documents, shingle, coordinates), "signatures")
     named = base.filter("doc_id is not null and n_shingles > 0")
     digest = ["d1", "d2", "n_shingles"]
