@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trueform.llm import decontaminate, langid, minhash, packing, substring
-from trueform.llm.common import on_path, saved
+from trueform.llm.common import on_path, saved, small_batches
 from trueform.llm.queries import vocabulary_file
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -51,8 +54,18 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.placed_pieces(packing.pack_documents(docs, vocabulary_file("word_bpe_49k.json")), with_sequence=True)
 
 
-STAGES = [("language", language), ("near_duplicates", near_duplicates), ("repeated_lines", repeated_lines),
-          ("decontaminated", decontaminated), ("packed", packed)]
+def lean(stage: Callable) -> Callable:
+    """``stage`` with batches to Python workers bounded by bytes."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [("language", lean(language)), ("near_duplicates", lean(near_duplicates)), ("repeated_lines", lean(repeated_lines)),
+          ("decontaminated", lean(decontaminated)), ("packed", lean(packed))]
 
 # learned language models, byte-pair tokens and best-fit packing are not SQL; tested against brute force
 ORACLE_SQL = None
