@@ -137,16 +137,50 @@ def test_multi_value_first_reason_and_blanks(spark):
     assert got[3] == (None, None) and got[4] == (None, None)
 
 
-def test_similarity_native_matches_arrow(spark):
+def _plain_score(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        above = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = above[j] + 1 if x == y else max(above[j + 1], row[j])
+    return round(100.0 * ((2.0 * row[-1]) / (len(a) + len(b)))) if a and b else 0
+
+
+def test_similarity_against_plain_lcs(spark):
+    import random
     from trueform.functions import similarity as S
-    pairs = [("Hispanic/Latino origin", "Hispanic/Latino ethnic origin"), ("1-yes", "yes"), ("", "x"),
-             ("abc", "cab"), ("Nope", "no"), ("LGBT", "LGBTQ")]
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("abcde _9") for _ in range(n))
+    pairs = [("Hispanic/Latino origin", "Hispanic/Latino ethnic origin"), ("1-yes", "yes"), ("", "x"), ("x", ""), ("", ""),
+             ("abc", "cab"), ("Nope", "no"), ("LGBT", "LGBTQ"), ("Caf\u00e9 \\ 'b'", "caf b")]
+    pairs += [(text(rng.randint(1, 200)), text(n)) for n in (1, 61, 62, 63, 124, 125, 190)]
     df = spark.createDataFrame(pairs, "a string, b string").select(
         S.token_sort_key("a").alias("a"), S.token_sort_key("b").alias("b"))
-    got = df.select(S.ratio_score(F.col("a"), F.col("b")).alias("n"),
-                    S.ratio_score_arrow(F.col("a"), F.col("b")).alias("p")).collect()
-    assert all(r["n"] == r["p"] for r in got)
-    assert got[1]["n"] > 50 and got[2]["n"] == 0
+    for r in df.select("a", "b", S.ratio_score(F.col("a"), F.col("b")).alias("n")).collect():
+        assert r["n"] == _plain_score(r["a"], r["b"]), r
+
+
+def test_options_against_plain_lcs(spark):
+    import random
+    from trueform.functions import similarity as S
+    from trueform.operators import mapping as M
+    from trueform.plans.spec import FieldSpec, TableSpec
+    rng = random.Random(4)
+    options = ("yes", "it's \\ so", "\u00fc!", "word " * 40, "some other words, of no length", "zz")
+    spec = TableSpec((FieldSpec("f", "string", enum=options),))
+    raws = ["".join(rng.choice("abdeorsuwyz ,'") for _ in range(n)) for n in (1, 4, 9, 30, 70, 300, 5000)] + ["yse", "--", "zz yes"]
+    cands = spark.createDataFrame([("f", r) for r in raws] + [("g", "yes")], "field string, raw string")
+    for floor in (None, 50):
+        got = {(r["field"], r["raw"]): (r["option"], r["score"]) for r in M.best_options(cands, spec, floor).collect()}
+        assert got.pop(("g", "yes")) == (None, None)
+        assert len(got) == len(raws)
+        for (_, raw), (option, score) in got.items():
+            key = S.option_key(raw)
+            scores = [_plain_score(key, S.option_key(o)) for o in options]
+            if floor is None or max(scores) > floor:
+                assert (option, score) == (options[scores.index(max(scores))], max(scores)), raw
+            else:
+                assert score <= floor
 
 
 def test_number_digits_beyond_six_places_are_invalid(spark):

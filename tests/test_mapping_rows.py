@@ -39,6 +39,30 @@ def test_resolve_truth_table(spark):
     assert allsrc == {"a", "b", "c", "d"}
 
 
+def test_decided_inputs_are_not_scored(spark):
+    df = spark.createDataFrame([("1-yes",), ("yess",), ("nope",), ("YES",)], "field3 string")
+    decided = M.from_dict(spark, {"field3": {"1-yes": (None, "Yes")}, "field1": {"nope": ("x", "Yes")}})
+    assert {r["input"] for r in M.generate(df, SPEC, decided=decided).collect()} == {"yess", "nope"}
+
+
+def test_dictionary_scores_only_new_spellings(spark, tmp_path):
+    path = str(tmp_path / "dictionary")
+    first = spark.createDataFrame([("1-yes",), ("nope",)], "field3 string")
+    second = spark.createDataFrame([("1-yes",), ("yess",), ("1-yes",)], "field3 string")
+    rows_of = lambda df: sorted((r["field"], r["input"], r["output"] or "", r["approved"]) for r in df.collect())
+    held = lambda: sorted(r["raw"] for r in spark.read.parquet(path).collect())
+    assert rows_of(M.generate(first, SPEC, dictionary=path)) == rows_of(M.generate(first, SPEC))
+    assert held() == ["1-yes", "nope"]
+    assert rows_of(M.generate(second, SPEC, dictionary=path)) == rows_of(M.generate(second, SPEC))
+    assert held() == ["1-yes", "nope", "yess"]
+    # another option list: the field is scored anew, older entries don't answer
+    other = TableSpec((FieldSpec("field3", "string", enum=("nope!", "maybe")),))
+    assert rows_of(M.generate(first, other, dictionary=path)) == rows_of(M.generate(first, other))
+    assert held() == ["1-yes", "1-yes", "nope", "nope", "yess"]
+    none = spark.createDataFrame([], "field3 string")
+    assert M.generate(none, SPEC, dictionary=path).count() == 0 and len(held()) == 5
+
+
 def test_extract_keys_multi_space(spark):
     text = ("No 'Intake' records found<br/><br/>Case: CASEID-abcde  Member: xx<br/>"
             "Case:    CASEID-fghij   Member: yy<br/>")

@@ -51,11 +51,26 @@ def state_code(x: Column) -> Column:
 
 
 def _nearest(norm: Column) -> Column:
-    """The one state whose name is nearest and near: one edit for words up to five letters, else two."""
-    names = ", ".join(f"struct('{n.upper()}' AS name, '{a}' AS code)" for a, n, _ in STATES)
-    far = F.transform(F.expr(f"array({names})"), lambda s: F.struct(
-        F.levenshtein(norm, s["name"], 2).alias("d"), s["code"].alias("code")))
+    """The one state whose name is nearest and near: one edit for words up to five letters, else two.
+
+    One pass over the names whose length lies within two of the cell's.
+    """
+    by_length: dict[int, list[str]] = {}
+    for a, n, _ in STATES:
+        for length in range(len(n) - 2, len(n) + 3):
+            by_length.setdefault(length, []).append(f"struct('{n.upper()}' AS name, '{a}' AS code)")
+    names = F.expr("map(" + ", ".join(f"{n}, array({', '.join(v)})" for n, v in by_length.items()) + ")")
     limit = F.when(F.length(norm) <= 5, 1).otherwise(2)
-    near = F.filter(far, lambda s: (s["d"] >= 0) & (s["d"] <= limit))
-    best = F.filter(near, lambda s: s["d"] == F.array_min(near)["d"])
-    return F.when(F.size(best) == 1, best[0]["code"])
+    # distances once a name; the fold keeps the least one, its code and how many names share it
+    far = F.filter(F.transform(F.try_element_at(names, F.length(norm)), lambda s: F.struct(
+        F.levenshtein(norm, s["name"], 2).alias("d"), s["code"].alias("code"))), lambda s: s["d"] >= 0)
+    start = F.struct(limit.alias("d"), F.lit(None).cast("string").alias("code"), F.lit(0).alias("n"))
+
+    def closer(acc, s):
+        first = (s["d"] < acc["d"]) | ((s["d"] == acc["d"]) & (acc["n"] == 0))
+        again = (s["d"] == acc["d"]) & (acc["n"] > 0)
+        return (F.when(first, F.struct(s["d"].alias("d"), s["code"].alias("code"), F.lit(1).alias("n")))
+                .when(again, F.struct(acc["d"].alias("d"), acc["code"].alias("code"), (acc["n"] + 1).alias("n")))
+                .otherwise(acc))
+
+    return F.aggregate(far, start, closer, lambda acc: F.when(acc["n"] == 1, acc["code"]))

@@ -9,14 +9,18 @@ work scales with the number of distinct spellings, not with rows.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from typing import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trueform.functions import cells, similarity
 from trueform.plans.spec import TableSpec
+from trueform.session import materialize
 
 # Approval states of a mapping row.
 APPROVED = "Yes"
@@ -86,43 +90,65 @@ def candidates(df: DataFrame, spec: TableSpec) -> DataFrame:
 # -- E4, E5: best option -----------------------------------------------------------------------------
 
 def _options_map(spec: TableSpec, names: list[str]) -> Column:
-    kv = []
-    for n in names:
-        opts = spec.field(n).options
-        kv += [F.lit(n), F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(o).alias("option"),
-                                            similarity.token_sort_key(F.lit(o)).alias("key"))
-                                   for i, o in enumerate(opts)])]
-    return F.create_map(*kv)
+    fields = [f"'{n}', array({', '.join(similarity.option_sql(i, o) for i, o in enumerate(spec.field(n).options))})"
+              for n in names]
+    return F.expr(f"map({', '.join(fields)})")
 
 
-def best_options(cands: DataFrame, spec: TableSpec, method: str = "native", floor: int | None = None) -> DataFrame:
+def best_options(cands: DataFrame, spec: TableSpec, floor: int | None = None) -> DataFrame:
     """(field, raw, option, score) with the best-scoring option; first option on a tie.
 
     Options are a spec-sized literal per field, so scoring is a projection over
     the candidates: no join and no shuffle. Scores at or below ``floor`` may
-    read 0 (the native form then skips pairs that cannot pass it).
+    read 0 (pairs that cannot pass it are not aligned).
     """
-    names = sorted({f.name for f in spec.fields if f.is_mappable})
+    names = sorted({f.name for f in spec.fields if f.is_mappable and f.options})
     if not names:
         return cands.select("field", "raw", F.lit(None).cast("string").alias("option"),
                             F.lit(0).alias("score"))
     opts = F.try_element_at(_options_map(spec, names), F.col("field"))
-    key = similarity.token_sort_key(F.col("raw"))
-    with_key = cands.withColumn("__key", key).withColumn("__opts", opts)
-    if method == "arrow":
-        pairs = (with_key.select("field", "raw", "__key", F.posexplode("__opts").alias("__i", "__o"))
-                 .withColumn("score", similarity.ratio_score_arrow(F.col("__key"), F.col("__o.key"))))
-        best = F.max_by(F.struct("__o.option", "score"), F.struct(F.col("score"), -F.col("__i")))
-        return (pairs.groupBy("field", "raw").agg(best.alias("b"))
-                .select("field", "raw", F.col("b.option").alias("option"), F.col("b.score").alias("score")))
+    with_key = cands.withColumn("__key", similarity.token_sort_key(F.col("raw"))).withColumn("__opts", opts)
     scored = F.transform(F.col("__opts"), lambda o: F.struct(
-        similarity.ratio_score(F.col("__key"), o["key"], floor).alias("score"),
+        similarity.option_score(F.col("__key"), o, floor).alias("score"),
         (-o["pos"]).alias("neg_pos"),
         o["option"].alias("option")))
     top = F.array_max(scored)
     return with_key.select("field", "raw", top["option"].alias("option"), top["score"].alias("score"))
 
 
+DICTIONARY_COLUMNS = ("field", "raw", "options_key", "option", "score")
+DICTIONARY_SCHEMA = "field string, raw string, options_key string, option string, score int"
+
+
+def _dictionary(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(DICTIONARY_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], DICTIONARY_SCHEMA)
+
+
+def remembered_options(cands: DataFrame, spec: TableSpec, path: str, floor: int | None = None) -> DataFrame:
+    """:func:`best_options` by a dictionary table that is kept between runs.
+
+    Only spellings that the table at ``path`` does not hold yet are scored, and are
+    appended to it. An entry names the option list and floor it was scored by, so a
+    changed spec scores its fields anew. Two runs at once may append the same entry;
+    equal entries count once. The candidates are checkpointed, as two steps read them.
+    """
+    spark = cands.sparkSession
+    keys = ["field", "raw", "options_key"]
+    marks = {f.name: hashlib.sha256(json.dumps([list(f.options), floor]).encode()).hexdigest()
+             for f in spec.fields if f.is_mappable}
+    mark = F.coalesce(*[F.when(F.col("field") == n, F.lit(h)) for n, h in marks.items()], F.lit(""))
+    marked = materialize(cands.select("field", "raw", mark.alias("options_key")), "checkpoint")
+    new = marked.join(_dictionary(spark, path), keys, "left_anti")
+    (best_options(new, spec, floor).withColumn("options_key", mark)
+     .select(*DICTIONARY_COLUMNS).write.mode("append").parquet(path))
+    return marked.join(_dictionary(spark, path).dropDuplicates(keys), keys).select("field", "raw", "option", "score")
+
+
 def suggest(best: DataFrame, threshold: int = MATCH_THRESHOLD) -> DataFrame:
     """E5: score above threshold -> the option, else no output; never approved."""
     return best.select(
@@ -140,15 +166,27 @@ def conflicts(mappings: DataFrame) -> DataFrame:
             .where(F.col("n") > 1))
 
 
+def undecided(cands: DataFrame, decided: DataFrame) -> DataFrame:
+    """Candidates without a row in ``decided`` (field, input)."""
+    d = decided.select(F.col("field").alias("__df"), F.col("input").alias("__di"))
+    return cands.join(d, (cands["field"] == d["__df"]) & (cands["raw"] == d["__di"]), "left_anti")
+
+
 def generate(df: DataFrame | None, spec: TableSpec, threshold: int = MATCH_THRESHOLD,
-             method: str = "native") -> DataFrame | None:
+             decided: DataFrame | None = None, dictionary: str | None = None) -> DataFrame | None:
     """E2 -> E5; fields without a suggestion are simply absent.
 
     Candidates are distinct and each has one best option, so no input can have
-    two outputs (E6) and no job is run to look."""
+    two outputs (E6) and no job is run to look. Inputs in ``decided`` are left out
+    before anything is scored; ``dictionary`` is a table that keeps scores between
+    runs (:func:`remembered_options`)."""
     if df is None:
         return None
-    return suggest(best_options(candidates(df, spec), spec, method, floor=threshold), threshold)
+    cands = candidates(df, spec)
+    if decided is not None:
+        cands = undecided(cands, decided)
+    best = remembered_options(cands, spec, dictionary, threshold) if dictionary else best_options(cands, spec, threshold)
+    return suggest(best, threshold)
 
 
 # -- E8, E9: approval and resolution --------------------------------------------------------------

@@ -70,11 +70,12 @@ class ConformResult:
 def conform(datasets: Mapping[str, DataFrame], spec: TableSpec, column_mapping: DataFrame | Mapping,
             source_mappings: DataFrame | None, member_id: str | None, *, row_format: bool = True,
             delimiter: str = ";", overwrite: bool = False, materialize: str | None = "persist",
-            fuzzy_method: str = "native", mapping_headers: DataFrame | None = None,
+            dictionary: str | None = None, mapping_headers: DataFrame | None = None,
             stored: bool = False) -> ConformResult:
     """The gated run; see the module docstring for the order of gates. ``mapping_headers``:
     header failures of the mapping files, checked before their rows. ``stored``: conformed,
-    dropped and invalid rows are written in one pass and read from there."""
+    dropped and invalid rows are written in one pass and read from there. ``dictionary``: a table
+    that keeps suggestions between runs, so that a rerun scores only new spellings."""
     problems = spec.check()
     if problems:
         spark = next(iter(datasets.values())).sparkSession if datasets else SparkSession.getActiveSession()
@@ -117,9 +118,11 @@ def conform(datasets: Mapping[str, DataFrame], spec: TableSpec, column_mapping:
 
     # suggestions come from distinct (field, raw) pairs, one best option each, so
     # they cannot conflict; the E6 guard is for mappings assembled elsewhere
-    generated = M.generate(combined, spec, method=fuzzy_method)
     if source_mappings is None:
         source_mappings = spark.createDataFrame([], M.MAPPING_SCHEMA)
+    # an approved mapping wins over a suggestion unless overwritten, so its input needs none
+    decided = None if overwrite else M.approved_only(source_mappings)
+    generated = M.generate(combined, spec, decided=decided, dictionary=dictionary)
     resolved = M.resolve(generated, source_mappings, overwrite=overwrite, remove_unapproved_source=True)
     resolved = hold(resolved)
     if not X.check_approvals(resolved).isEmpty():  # C10

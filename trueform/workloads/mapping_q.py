@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trueform.operators import mapping
 from trueform.plans.spec import FieldSpec, TableSpec
 from trueform.workloads.conform_q import NUM_RE, _split_select
-from trueform.session import spread
+from trueform.session import scratch_path, spread
 from trueform.workloads.registry import register, table
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -129,6 +131,25 @@ def e7_generate(spark, sf_dir):
     return mapping.generate(dirty_customers(spark, sf_dir), CUSTOMER_SPEC)
 
 
+@register("e7_undecided", f"""WITH g AS ({GEN_SQL})
+SELECT * FROM g WHERE NOT EXISTS (SELECT 1 FROM ({SOURCE_MAP_SQL}) s
+  WHERE s.approved = 'Yes' AND s.field = g.field AND s.input = g.input)""")
+def e7_undecided(spark, sf_dir):
+    """E7 for the inputs that no approved mapping decides; the others are never scored."""
+    decided = mapping.approved_only(source_mappings(spark, sf_dir))
+    return mapping.generate(dirty_customers(spark, sf_dir), CUSTOMER_SPEC, decided=decided)
+
+
+@register("e7_rerun", GEN_SQL)
+def e7_rerun(spark, sf_dir):
+    """E7 in two runs that share a dictionary: one of the customers in debt, then one of all."""
+    dirty = dirty_customers(spark, sf_dir)
+    debtors = table(spark, sf_dir, "customer").where("c_acctbal < 0").select("c_custkey")
+    path = scratch_path(spark, f"suggestions-{uuid.uuid4().hex[:12]}")
+    mapping.generate(dirty.join(debtors, "c_custkey", "left_semi"), CUSTOMER_SPEC, dictionary=path)
+    return mapping.generate(dirty, CUSTOMER_SPEC, dictionary=path)
+
+
 @register("e8_approved", f"SELECT * FROM ({SOURCE_MAP_SQL}) s WHERE approved = 'Yes'")
 def e8_approved(spark, sf_dir):
     return mapping.approved_only(source_mappings(spark, sf_dir))
