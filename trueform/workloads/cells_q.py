@@ -248,9 +248,12 @@ _STATE = ("CASE upper(trim(state_raw)) WHEN 'AL' THEN 'AL' WHEN 'CALIFORNIA' THE
 SELECT o_orderkey, {_STATE} AS value,
   CASE WHEN {_STATE} IS NULL THEN concat(state_raw, ' is not a valid state') END AS reason FROM d""")
 def f8_lookup(spark, sf_dir):
-    d = dirty_orders(spark, sf_dir)
-    v, r = cells.conform_cell(F.col("state_raw"), STATE_FIELD)
-    return d.select("o_orderkey", v.alias("value"), r.alias("reason"))
+    """F8 through the process job's staged projection, which finds each cell's code once."""
+    from trueform.operators.process import conform_columns
+    name = STATE_FIELD.name
+    d = dirty_orders(spark, sf_dir).select("o_orderkey", F.col("state_raw").alias(name))
+    out = conform_columns(d, d.columns, [STATE_FIELD], set(), {})
+    return out.select("o_orderkey", F.col(f"__v_{name}").alias("value"), F.col(f"__r_{name}").alias("reason"))
 
 
 # Integers and ranges ------------------------------------------------------------
