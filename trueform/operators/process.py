@@ -280,20 +280,31 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
 
 
 def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None = None, *,
-            materialize: str | None = "persist", dedupe: bool = True) -> ProcessResult:
+            materialize: str | None = "persist", dedupe: bool = True,
+            derive: Mapping[str, Column] | None = None) -> ProcessResult:
     """Conform ``df`` to ``spec``; returns conformed, dropped and invalid frames.
 
     ``dedupe=False`` leaves repeated keys in (a stream settles them over its sink).
+    ``derive`` makes the columns to conform, by name, from ``df``'s own (row by row,
+    deterministic, other names): only ``df``'s columns are held and go through the
+    key shuffle, and each column is made where it is read.
     """
     spark = df.sparkSession
     settled = settled_mappings(mapping_frame(spark, mappings), spec)
     df = spread(df)
-    src_cols = list(df.columns)
+    narrow, derive = list(df.columns), dict(derive or {})
+    if clash := set(narrow) & set(derive):
+        raise ValueError(f"derived columns named like the input's: {sorted(clash)}")
+    if derive:
+        df = df.select(*narrow, *[c.alias(n) for n, c in derive.items()])
+    src_cols = list(derive or narrow)
     required = spec.required_names
     for r in required:  # G2: absent required column reads as all null
         if r not in df.columns:
+            if derive:
+                derive[r] = F.lit(None).cast("string")
             df = df.withColumn(r, F.lit(None).cast("string"))
-    cols = list(df.columns)
+    cols = [c for c in df.columns if not derive or c not in narrow]
     fields = [f for f in spec.fields if f.name in cols]
     array_fields = {f.name for f in fields if isinstance(df.schema[f.name].dataType, T.ArrayType)}
     keys = [k for k in spec.primary_key if k in cols]
@@ -302,7 +313,8 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
 
     # required and key fields of every row
     df, lookups = _lookups(df, first, settled, array_fields)
-    staged = conform_columns(df, cols, first, array_fields, lookups)
+    made = [f.name for f in first if f.name in derive]
+    staged = conform_columns(df, [*narrow, *made] if derive else cols, first, array_fields, lookups).drop(*made)
     missing = rows.missing_required({f.name: F.col(_v(f.name)) for f in first}, required)
     base = _materialize(staged.withColumn("__missing", missing), materialize)
 
@@ -312,7 +324,7 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
     else:
         flagged = base.withColumn("__dup", F.lit(False))
     status = F.when(~ok, F.lit("missing")).when(F.col("__dup"), F.lit("duplicate")).otherwise(F.lit("kept"))
-    parent = flagged.withColumn("__status", status)
+    parent = flagged.withColumns({"__status": status, **derive})
 
     # optional fields of the survivors
     full = parent.where(F.col("__status") == "kept")
