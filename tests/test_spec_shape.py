@@ -110,6 +110,26 @@ def test_spec_checks_as_a_relation(spark):
         (site, None, f.name, f.name) for site, s in specs.items() for f in s.fields if f.milestones is None}
 
 
+def test_shared_labels_are_named_not_copied(spark, tmp_path):
+    from trueform.plans import spec_relation as R
+    from trueform.workloads import spec_q
+
+    sets = {0: [("a", 0), ("b", 1), ("c", 1)], 1: [("a", 4), ("n", None)], 2: []}
+    kinds = [("integer", 0, 1), ("integer", 0, 4), ("string", None, 3), ("integer", 5, 4)]
+    rows = [(f"s{i % 3}", ["In"] if i % 3 else None, f"f{i}", kind, lo, hi, [i % 2], [], i % 4, sets.get(i % 4) or None)
+            for i, (kind, lo, hi) in enumerate(kinds * 4)]
+    schema = R.SPEC_SCHEMA.replace("labels array", "label_set long, labels array")
+    inline = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(k, x, c) for k, held in sets.items() for x, c in held * 50], "label_set long, label string, code long")
+    got = sorted(map(repr, R.check_specs(inline.drop("labels"), labels).collect()))
+    assert got == sorted(map(repr, R.check_specs(inline.drop("label_set")).collect())) and len(got) >= 10
+    assert R.set_codes(labels).where("label_set = 0").first()["codes"].__len__() == 2  # 150 labels, two codes
+
+    spark.range(200).selectExpr("id AS p_partkey", "'b' AS p_brand", "int(id) AS p_size").write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(900).selectExpr("id AS c_custkey", "string(id) AS c_name", "id AS c_nationkey").write.parquet(str(tmp_path / "customer.parquet"))
+    assert "labels" not in spec_q.spec_rows(spark, str(tmp_path)).columns and spec_q.b4_spec_checks(spark, str(tmp_path)).count() > 0
+
+
 def test_live_milestones_need_no_job_to_plan(spark):
     from trueform.operators import shape as S
     from trueform.plans.spec import FieldSpec, TableSpec

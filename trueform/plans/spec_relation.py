@@ -7,6 +7,9 @@ One row is a field of a site's spec::
     custom_names array<struct<position int, name string>>,
     labels array<struct<label string, code bigint>> (null: no coded labels)
 
+Fields that share many labels name them instead: ``label_set`` in place of ``labels``,
+and a table of labels (label_set, label, code), each label once and not once a field.
+
 The rules and wordings are those of :meth:`TableSpec.check`, which answers for one
 spec while a plan is built; here the specs are data, checked where they lie.
 """
@@ -35,20 +38,31 @@ def _list_text(codes: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(codes), lambda c: c.cast("string")), ", "), F.lit("]"))
 
 
-def check_specs(specs: DataFrame) -> DataFrame:
+def set_codes(labels: DataFrame) -> DataFrame:
+    """(label_set, codes): the distinct codes of each set, a null one included; the labels themselves stay where they are."""
+    return (labels.select("label_set", "code").distinct().groupBy("label_set")
+            .agg(F.collect_list(F.struct("code")).alias("codes")).select("label_set", F.transform("codes", lambda x: x["code"]).alias("codes")))
+
+
+def check_specs(specs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(site, field, check, detail), one row per problem; no row for a usable spec.
 
     A scan and a projection: each field lists its own problems. Only the sites
     without milestone names, which are reported once, need their names folded.
+    With ``labels``, fields name a ``label_set`` of it and meet its distinct codes.
     """
+    if labels is None:
+        specs = specs.withColumn("codes", F.array_distinct(F.transform("labels", lambda x: x["code"])))
+    else:
+        specs = specs.join(set_codes(labels), "label_set", "left")
     known = F.size("milestone_names")
     names_given = F.col("milestone_names").isNotNull()
     outside = lambda p: names_given & ((p < 0) | (p >= known))
     none = F.array().cast("array<struct<check:string,detail:string>>")
     problem = lambda check, *text: F.struct(F.lit(check).alias("check"), F.concat(*text).alias("detail"))
-    coded = F.col("labels").isNotNull()
+    coded = F.col("codes").isNotNull()
     bounded = F.col("minimum").isNotNull() & F.col("maximum").isNotNull()
-    codes = F.array_distinct(F.transform("labels", lambda x: x["code"]))
+    codes = F.col("codes")
     span = F.when(F.col("maximum") >= F.col("minimum"), F.sequence("minimum", "maximum")).otherwise(F.array().cast("array<bigint>"))
     without, beyond = F.array_except(span, codes), F.array_except(codes, span)
     milestones = F.coalesce("milestones", F.array().cast("array<int>"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from trueform.plans import spec_relation as R
 from trueform.workloads.registry import register, table
 
@@ -19,17 +17,22 @@ SITE_MILESTONES = ("Intake", "Start", "Exit", "Follow")
 
 
 def spec_rows(spark, sf_dir):
-    labels = (table(spark, sf_dir, "customer").groupBy((F.col("c_custkey") % 300).alias("grp"))
-              .agg(F.collect_list(F.struct(F.col("c_name").alias("label"), (F.col("c_nationkey") % 6).cast("bigint").alias("code"))).alias("labels")))
+    """One spec row per part; the labels that a group of parts shares are named, not copied (:func:`label_rows`)."""
     names = ", ".join(f"'{m}'" for m in SITE_MILESTONES)
     part = table(spark, sf_dir, "part").selectExpr(
-        *[f"{sql} AS {name}" for name, sql in SPEC_FIELDS.items()], "p_partkey % 400 AS grp",
+        *[f"{sql} AS {name}" for name, sql in SPEC_FIELDS.items()], "p_partkey % 400 AS label_set",
         f"CASE WHEN p_size % 11 > 0 THEN array({names}) END AS milestone_names",
         "CASE WHEN p_partkey % 4 > 0 THEN transform(sequence(0, p_partkey % 6), x -> CAST(x AS INT)) END AS milestones",
         "CASE WHEN p_partkey % 8 = 1 THEN array(named_struct('position', CAST(p_partkey % 9 AS INT), 'name', p_brand)) ELSE array() END AS custom_names")
-    return part.join(labels, "grp", "left").selectExpr(
+    return part.selectExpr(
         "site", "milestone_names", "field", "type", "CAST(minimum AS BIGINT) AS minimum", "CAST(maximum AS BIGINT) AS maximum",
-        "milestones", "CAST(custom_names AS array<struct<position:int,name:string>>) AS custom_names", "labels")
+        "milestones", "CAST(custom_names AS array<struct<position:int,name:string>>) AS custom_names", "label_set")
+
+
+def label_rows(spark, sf_dir):
+    """(label_set, label, code): the coded labels, one row per customer."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey % 300 AS label_set", "c_name AS label", "CAST(c_nationkey % 6 AS BIGINT) AS code")
 
 
 _NAMES = ", ".join(f"'{m}'" for m in SITE_MILESTONES)
@@ -53,7 +56,7 @@ UNION ALL SELECT site, field, 'label_map_cover', 'codes without a label: ' || {_
 @register("b4_spec_checks", B_SQL)
 def b4_spec_checks(spark, sf_dir):
     """Problems of all sites' specs in one pass."""
-    return R.check_specs(spec_rows(spark, sf_dir))
+    return R.check_specs(spec_rows(spark, sf_dir), label_rows(spark, sf_dir))
 
 
 B2_SQL = f"""WITH {SPEC_CTE}
