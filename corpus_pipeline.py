@@ -37,8 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts lines that stand in an earlier document or earlier in the same one; documents left without a word go."""
-    cut = substring.substring_dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    """Cuts lines and passages that stand in an earlier document or earlier in the same one; documents left without a word go."""
+    cut = substring.passage_dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
     return cut.filter(F.col("text").rlike(r"\S"))
 
 

@@ -291,6 +291,46 @@ def test_line_dedup_of_a_long_text(spark):
     assert got[1].text == line and got[1].n_removed == 59_999 and got[2].text == "short"
 
 
+def plain_passage_words(rows, n):
+    """(row, word number) of the words of passages that stand earlier, and each row's words as they are spelled."""
+    spelled = [re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t or "") for _, t in rows]
+    seen, gone = {}, set()
+    for k in sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0)):
+        w, own = [x.lower() for x in spelled[k]], set()
+        for p in range(len(w) - n + 1):
+            key, i = tuple(w[p:p + n]), rows[k][0]
+            if key in own or i is not None and seen.get(key, i) < i:
+                gone.update((k, q) for q in range(p, p + n))
+            own.add(key)
+            if i is not None:
+                seen.setdefault(key, i)
+    return gone, spelled
+
+
+def test_passages_are_cut_inside_lines(spark):
+    rng = random.Random(17)
+    shared = [prose(rng, 60), prose(rng, 55).replace(" ", "\n", 3), prose(rng, 24)]
+    rows = [(i, ". ".join([prose(rng, 10 + i % 7), shared[i % 3], prose(rng, 12), shared[(i * 5) % 3].title(), prose(rng, 9) + "!"])) for i in range(24)]
+    rows += [(50, None), (51, ""), (None, shared[0] + " x " + shared[0]), (None, shared[0]), (60, shared[0] + ",\n" + shared[0]), (60, "other " + shared[1]), (61, "é " + shared[0] + " ü")]
+    gone, spelled = plain_passage_words(rows, 25)
+    got = substring.passage_dedup(frame(spark, rows), min_words=10_000).collect()  # no unit is so long: passages alone
+    key = lambda r: (r[0] is None, r[0] or 0, str(r[1]))
+    find = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+").findall
+    want = [(i, [w for q, w in enumerate(spelled[k]) if (k, q) not in gone]) for k, (i, _) in enumerate(rows)]
+    assert sorted([(r.doc_id, find(r.text or "")) for r in got], key=key) == sorted(want, key=key) and len(gone) > 1000
+    assert [r.text for r in got if r.doc_id == 50] == [None] and substring.passage_dedup(frame(spark, [])).count() == 0
+
+
+def test_passage_dedup_cuts_all_that_line_dedup_cuts(spark):
+    rng = random.Random(18)
+    lines = [prose(rng, n) for n in (13, 14, 20, 5, 6, 9, 30)]
+    rows = [(i, "\n".join(rng.choice(lines) if rng.random() < 0.5 else prose(rng, rng.randint(1, 24)) for _ in range(8))) for i in range(20)]
+    by_line = {r.doc_id: r.text for r in substring.substring_dedup(frame(spark, rows)).collect()}
+    both = {r.doc_id: r.text for r in substring.passage_dedup(frame(spark, rows)).collect()}
+    alone = {r.doc_id: r.text for r in substring.passage_dedup(frame(spark, rows), n=10_000).collect()}
+    assert alone == by_line and all(len(both[i]) <= len(by_line[i]) for i in both) and by_line != dict(rows)
+
+
 def test_language_id(spark):
     rng = random.Random(6)
     make = {"aa": "bdgaeo", "bb": "ptkiuy", "cc": "mnléèo", "dd": "szxaiw"}

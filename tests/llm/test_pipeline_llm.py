@@ -93,3 +93,11 @@ def test_pipeline_stages_drop_emptied_documents(spark):
     docs = spark.createDataFrame([(1, line, "en", "s", 0), (2, line, "en", "s", 0), (3, line + "\nmore", "en", "s", 0), (4, " \n ", "en", "s", 0)],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id: r.text for r in corpus_pipeline.repeated_lines(spark, docs, "").collect()} == {1: line, 3: "more"}
+
+
+def test_pipeline_cuts_passages_inside_lines(spark):
+    rng = random.Random(5)
+    passage, ends = prose(rng, 51), [f"edge{k} {prose(rng, 12)} edge{k}" for k in range(4)]
+    docs = spark.createDataFrame([(i, f"{ends[2 * i]} {passage} {ends[2 * i + 1]}", "en", "s", 0) for i in range(2)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeated_lines(spark, docs, "").collect()}
+    assert got == {0: f"{ends[0]} {passage} {ends[1]}", 1: f"{ends[2]} {ends[3]}"}
