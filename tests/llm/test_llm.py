@@ -321,6 +321,12 @@ def test_passages_are_cut_inside_lines(spark):
     assert [r.text for r in got if r.doc_id == 50] == [None] and substring.passage_dedup(frame(spark, [])).count() == 0
 
 
+def test_a_text_that_repeats_itself_counts_once():
+    one = np.array([5, 5, 7, 5, 7], dtype=np.int64)
+    assert sorted(substring.once_a_row(np.array([0, 0, 0, 1, 1]), one, one * 2).tolist()) == [0, 2, 3, 4]
+    assert len(substring.once_a_row(one[:0], one[:0])) == 0
+
+
 def test_passage_dedup_cuts_all_that_line_dedup_cuts(spark):
     rng = random.Random(18)
     lines = [prose(rng, n) for n in (13, 14, 20, 5, 6, 9, 30)]
