@@ -61,9 +61,9 @@ def _nearest(norm: Column) -> Column:
             by_length.setdefault(length, []).append(f"struct('{n.upper()}' AS name, '{a}' AS code)")
     names = F.expr("map(" + ", ".join(f"{n}, array({', '.join(v)})" for n, v in by_length.items()) + ")")
     limit = F.when(F.length(norm) <= 5, 1).otherwise(2)
-    # distances once a name; the fold keeps the least one, its code and how many names share it
-    far = F.filter(F.transform(F.try_element_at(names, F.length(norm)), lambda s: F.struct(
-        F.levenshtein(norm, s["name"], 2).alias("d"), s["code"].alias("code"))), lambda s: s["d"] >= 0)
+    # distances of the near names only; the fold keeps the least one, its code and how many names share it
+    near = F.filter(F.try_element_at(names, F.length(norm)), lambda s: F.levenshtein(norm, s["name"], 2) >= 0)
+    far = F.transform(near, lambda s: F.struct(F.levenshtein(norm, s["name"], 2).alias("d"), s["code"].alias("code")))
     start = F.struct(limit.alias("d"), F.lit(None).cast("string").alias("code"), F.lit(0).alias("n"))
 
     def closer(acc, s):

@@ -215,19 +215,24 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
     numeric parse -> transform -> cast -> final value/reason. Each stage reads
     the previous stage's columns, so an expensive piece (a parse, a lookup) is
     computed once per cell instead of being repeated inside every expression
-    that needs it; the stages stay in one whole-stage-codegen span.
+    that needs it; the stages stay in one whole-stage-codegen span. Fields that
+    :func:`cells.direct` names need only the second and the last.
     """
     keep = [F.col(c) for c in cols]
     joined = [F.col(c) for c in df.columns if c.startswith(("__mh_", "__mo_"))]  # outputs of joined mappings, read by stage 2
-    scalar = [f for f in fields if not f.allows_multiple and f.name not in array_fields]
-    multi = [f for f in fields if f.allows_multiple and f.name in array_fields]
+    types = dict(df.dtypes)
+    direct = [f for f in fields if cells.direct(f, lookups.get(f.name), types[f.name])]
+    staged = [f for f in fields if f not in direct]
+    scalar = [f for f in staged if not f.allows_multiple and f.name not in array_fields]
+    multi = [f for f in staged if f.allows_multiple and f.name in array_fields]
     # 1: float view of the text, for the fields that test numbers (per element for lists)
     s1 = df.select(*keep, *joined,
                    *[cells.as_double(F.col(f.name)).alias(f"__d_{f.name}") for f in scalar if cells.needs_number(f)],
                    *[cells.multi_parse(F.col(f.name), f).alias(f"__xa_{f.name}") for f in multi])
     # 2: transform phase (+ the complete cells that cannot be conformed)
-    t_cols, done = [], []
-    for f in fields:
+    results = {f.name: c for f in direct if (c := cells.direct_stage(f.name, f)) is not None}
+    t_cols, done = [c.alias(f"__t_{n}") for n, c in results.items()], []
+    for f in staged:
         raw = F.col(f.name)
         if f.allows_multiple and f.name not in array_fields:
             v, r = cells.conform_multi(raw, f, lookups.get(f.name), raw_is_array=False)
@@ -250,6 +255,7 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
     s2 = s1.select(*keep, *t_cols)
     # 3: cast phase on the transformed value
     c_cols, carry = [], [F.col(_v(n)) for n in done] + [F.col(_r(n)) for n in done]
+    made = [F.col(f"__t_{n}") for n in results]
     for f in scalar:
         x = F.col(f"__t_{f.name}")
         cv, cr = cells.cast_named(f"__t_{f.name}", f)
@@ -260,9 +266,12 @@ def conform_columns(df: DataFrame, cols: list[str], fields: list[FieldSpec], arr
         ta = F.col(f"__ta_{f.name}")
         c_cols += [cells.first_reason(ta).alias(f"__mtr_{f.name}"),
                    cells.multi_cast(ta, f).alias(f"__mca_{f.name}")]
-    s3 = s2.select(*keep, *carry, *c_cols)
+    s3 = s2.select(*keep, *carry, *made, *c_cols)
     # 4: first reason wins; blanks are neither values nor errors
     out = []
+    for f in direct:
+        v, r = cells.direct_final(f.name, f"__t_{f.name}", f)
+        out += [v.alias(_v(f.name)), r.alias(_r(f.name))]
     for f in scalar:
         b, xb = F.col(f"__b_{f.name}"), F.col(f"__xb_{f.name}")
         reason = F.when(~b, F.coalesce(F.col(f"__tr_{f.name}"), F.when(~xb, F.col(f"__cr_{f.name}"))))
@@ -318,7 +327,7 @@ def process(df: DataFrame, spec: TableSpec, mappings: DataFrame | Mapping | None
     missing = rows.missing_required({f.name: F.col(_v(f.name)) for f in first}, required)
     base = _materialize(staged.withColumn("__missing", missing), materialize)
 
-    ok = F.size(F.col("__missing")) == 0
+    ok = reduce(Column.__and__, [F.col(_v(r)).isNotNull() for r in required], F.lit(True))
     if keys and dedupe:
         flagged = rows.flag_duplicates(base, [_v(k) if spec.has(k) else k for k in keys], eligible=ok)
     else:

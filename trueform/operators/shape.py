@@ -65,7 +65,10 @@ def strip_text(c: Column) -> Column:
 def split_values(c: Column, delimiter: str) -> Column:
     """Delimited text -> array of stripped parts; blank -> ['']."""
     parts = F.split(c, re.escape(delimiter))
-    return F.transform(parts, lambda x: F.btrim(x, F.lit(WHITESPACE)))
+    strip_ = lambda x: F.when((x < "!") | (F.substring(x, -1, 1) < "!"), F.btrim(x, F.lit(WHITESPACE))).otherwise(x)
+    edge, sep = r"[ \t\n\r\f\x0B]", f"(?:{re.escape(delimiter)})"  # whitespace beside a delimiter or at an end
+    return (F.when(c.rlike(rf"{sep}{edge}|{edge}{sep}|^{edge}|{edge}\z"), F.transform(parts, strip_))
+            .otherwise(parts))
 
 
 def _any_not_null(names: list[str]) -> Column:
@@ -138,7 +141,7 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
 
 def join_values(c: Column, sep: str = ",") -> Column:
     """Array -> delimited text; null stays null."""
-    return F.array_join(F.transform(c, lambda x: x.cast("string")), sep)
+    return F.array_join(c.cast("array<string>"), sep)
 
 
 def arrays_to_text(df: DataFrame, spec: TableSpec, sep: str = ",") -> DataFrame:

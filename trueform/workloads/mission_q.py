@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trueform.functions.cells import sql_literal
 from trueform.operators.process import process
 from trueform.operators.shape import arrays_to_text, split_values
 from trueform.plans.spec import FieldSpec, TableSpec, load_spec
@@ -33,12 +34,25 @@ def _case_index(expr: str, values: list[str]) -> str:
     return f"(CASE {expr} % {len(values)} {whens} END)"
 
 
+def _element(expr: str, values: list[str]) -> str:
+    """:func:`_case_index` as one array access (Spark)."""
+    return f"get(array({', '.join(map(sql_literal, values))}), CAST({expr} % {len(values)} AS INT))"
+
+
+def _case_upper(expr: str, values: list[str]) -> str:
+    return f"upper({_case_index(expr, values)})"
+
+
+def _element_upper(expr: str, values: list[str]) -> str:
+    return f"get(array({', '.join(f'upper({sql_literal(v)})' for v in values)}), CAST({expr} % {len(values)} AS INT))"
+
+
 def _labels(f: FieldSpec) -> list[str]:
     return [label for label, _ in f.enum_mapping if "'" not in label]
 
 
-def _dirt(k: int, f: FieldSpec) -> str:
-    """Dirty text for field ``f`` (index ``k``): valid in Spark SQL and DuckDB."""
+def _dirt(k: int, f: FieldSpec, pick=_case_index, pick_upper=_case_upper) -> str:
+    """Dirty text for field ``f`` (index ``k``): valid in Spark SQL and, with the default picks, DuckDB."""
     h = _h(k)
     n = f.name
     if n == "MilestoneFlag":
@@ -55,13 +69,13 @@ def _dirt(k: int, f: FieldSpec) -> str:
     if f.transform == "state":
         return f"CASE {h} % 5 WHEN 0 THEN 'IL' WHEN 1 THEN 'texas' WHEN 2 THEN '06' WHEN 3 THEN 'Narnia' ELSE '' END"
     if f.enum_mapping is not None:
-        lab = _case_index(h, _labels(f))
+        lab = pick(h, _labels(f))
         lo, hi = int(f.minimum), int(f.maximum)
         if f.allows_multiple:
             return (f"CASE {h} % 4 WHEN 0 THEN concat({lab}, ';', CAST({lo} AS STRING)) "
                     f"WHEN 1 THEN concat({lab}, ' ; bogus') WHEN 2 THEN '' "
                     f"ELSE concat(CAST({hi + 1} AS STRING), ';', {lab}) END")
-        return (f"CASE {h} % 6 WHEN 0 THEN {lab} WHEN 1 THEN upper({lab}) "
+        return (f"CASE {h} % 6 WHEN 0 THEN {lab} WHEN 1 THEN {pick_upper(h, _labels(f))} "
                 f"WHEN 2 THEN CAST({lo} + {h} % {hi - lo + 1} AS STRING) WHEN 3 THEN 'unknown' WHEN 4 THEN '' "
                 f"ELSE CAST({hi + 1} AS STRING) END")
     if f.type == "boolean":
@@ -90,8 +104,8 @@ def _dirt_select(quote: str) -> list[str]:
 
 def dirty_columns() -> dict[str, Column]:
     """The fields of a dirty wide record over a lineitem row; multi-value fields split on ';' (D6)."""
-    return {f.name: split_values(F.expr(_dirt(k, f)), ";") if f.allows_multiple else F.expr(_dirt(k, f))
-            for k, f in enumerate(SPEC.fields)}
+    dirt = {f.name: (f, F.expr(_dirt(k, f, _element, _element_upper))) for k, f in enumerate(SPEC.fields)}
+    return {n: split_values(c, ";") if f.allows_multiple else c for n, (f, c) in dirt.items()}
 
 
 def run_mission(spark: SparkSession, sf_dir: str, materialize: str | None = None):
